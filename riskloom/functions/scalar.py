@@ -8,19 +8,17 @@ from pyspark.sql import types as T
 
 from riskloom.schema import MONEY
 
-# Accepted time formats, tried in this order, and the text of a number.
-TIME_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSS]",
-    "yyyy-MM-dd HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyyMMdd",
-    "MM/dd/yyyy",
-    "MMM d yyyy",
+# Accepted time texts with their pattern (none: ISO, read by a cast), in the
+# order they are tried, and the text of a number.
+TIME_SHAPES = [
+    (
+        r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?( ?(Z|[+-]\d{2}:\d{2}))?)?$",
+        None,
+    ),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"),
 ]
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -51,10 +49,17 @@ MISSING_TOKENS = [
 def parsed_time(text: Column) -> Column:
     """UTC wall-clock time, or null for text in none of the accepted formats.
 
-    An offset is applied and dropped; needs a UTC session.
+    An offset is applied and dropped; needs a UTC session. The shape is checked before a
+    text is parsed, as failed parses are slow and a bare cast accepts partial times.
     """
     text = F.trim(text)
-    tries = [F.try_to_timestamp(text, F.lit(pattern)) for pattern in TIME_FORMATS]
+    tries = [
+        F.when(
+            text.rlike(shape),
+            F.try_to_timestamp(text, F.lit(pattern)) if pattern else text.try_cast("timestamp"),
+        )
+        for shape, pattern in TIME_SHAPES
+    ]
     return F.coalesce(*tries).cast(T.TimestampNTZType())
 
 

@@ -154,11 +154,11 @@ def _hot(base: DataFrame, slice_rows: int) -> DataFrame:
 
 def split_hot(base: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary users and, if there are any, rows of users above ``hot_rows``."""
-    hot = pinned(base.groupBy("_u").count().where(F.col("count") > hot_rows).select("_u"))
-    users = hot.count()
-    if users == 0:
+    hot = base.groupBy("_u").count().where(F.col("count") > hot_rows).select("_u")
+    if hot.isEmpty():
         return base, None
-    if users <= BROADCAST_USERS:
+    hot = pinned(hot)
+    if hot.count() <= BROADCAST_USERS:
         hot = F.broadcast(hot)
     return base.join(hot, "_u", "left_anti"), base.join(hot, "_u", "left_semi")
 

@@ -88,15 +88,18 @@ def quantiles(
     value: str,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
     ``percentile`` would keep all distinct values of a group in one aggregation buffer.
     Counting equal values first and accumulating the counts finds the two neighbours of
-    each rank with no such buffer. ``probabilities`` maps output column to probability.
+    each rank with no such buffer. ``probabilities`` maps output column to probability;
+    ``weight`` names a column with the number of rows that a row stands for.
     """
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    copies = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(copies.alias("_n"))
     cut = sliced(counts, [*by, value])
     sizes = cut.groupBy(*by).agg(F.sum("_n").alias("_size"))
     ranked = running(cut, by, [value], sums={"_end": "_n"})
