@@ -52,9 +52,15 @@ def check_source(source: DataFrame, key: str) -> None:
 
 
 def first_per_key(source: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Keep the first row of each key; combines before the shuffle."""
-    first = F.min_by(F.struct(*source.columns), F.struct(*order))
-    return source.groupBy(F.col(key).alias("_key")).agg(first.alias("row")).select("row.*")
+    """Keep the smallest row of each key by ``order``, then by the other columns.
+
+    The minimum combines before the shuffle, so a key with very many rows is no burden.
+    """
+    rest = [name for name in source.columns if name not in order]
+    first = F.min(F.struct(*order, *rest))
+    return source.groupBy(F.col(key).alias("_key")).agg(first.alias("row")).select(
+        *[F.col(f"row.{name}").alias(name) for name in source.columns]
+    )
 
 
 def table_diff(

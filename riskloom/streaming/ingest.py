@@ -88,7 +88,7 @@ def check_files(spark: SparkSession, paths: list[str], out: str) -> DataFrame:
         "is_bad", F.col("failure_reason") != ""
     )
     rows.drop("row_pos").write.mode("overwrite").partitionBy("is_bad").parquet(out)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("is_bad", F.col("is_bad").cast("boolean"))
 
 
 def valid(checked: DataFrame) -> DataFrame:
