@@ -19,9 +19,13 @@ RANDOM_FOREST = "random_forest"
 
 # Training parameters.
 MAX_ITERATIONS = 1000
+TOLERANCE = 1e-4
 FOREST_TREES = 100
 FOREST_DEPTH = 30
 
+# A smaller training set may sit in one partition; it is spread to give every core a part.
+SMALL_ROWS = 1_000_000
+
 
 def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeline:
     inputs = VectorAssembler(inputCols=list(columns), outputCol="_vector")
@@ -33,6 +37,7 @@ def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeli
             labelCol="label",
             weightCol="weight",
             maxIter=MAX_ITERATIONS,
+            tol=TOLERANCE,
             regParam=1.0 / rows,
             standardization=False,
         )
@@ -45,6 +50,9 @@ def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeli
         maxDepth=FOREST_DEPTH,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        # Deep trees: rows keep their node, so the grown trees are not sent to every task.
+        cacheNodeIds=True,
+        maxMemoryInMB=1024,
     )
     return Pipeline(stages=[inputs, model])
 
@@ -56,6 +64,8 @@ def fit(kind: str, train: DataFrame, columns: Sequence[str], seed: int = 42) ->
         return None
     rows = sum(row["count"] for row in classes)
     weighted = balanced_weights(train.select("label", *columns).fillna(0.0, list(columns)))
+    if kind == RANDOM_FOREST and rows < SMALL_ROWS:
+        weighted = weighted.repartition(train.sparkSession.sparkContext.defaultParallelism)
     return _pipeline(kind, columns, rows, seed).fit(weighted)
 
 

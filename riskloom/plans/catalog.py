@@ -5,7 +5,7 @@ Doubles are rounded on both sides, as two engines may add them in a different or
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
@@ -754,10 +754,10 @@ SELECT transaction_id, trim(user_id) AS user_id, t AS event_time, round(a, 2) AS
 )
 def ingest_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Daily files through the ingest stream, run twice."""
-    rows = inputs.landing(spark, folder).drop("row_pos")
-    layers = Layers(tempfile.mkdtemp(prefix="replay-", dir=_local_scratch(spark)))
-    ordered = rows.repartition("source_file").sortWithinPartitions("source_file", "event_time")
-    ordered.write.partitionBy("source_file").option("header", True).csv(layers.landing)
+    rows = inputs.landing(spark, folder)
+    layers = Layers(f"{checkpoint_folder(spark)}/replay-{uuid.uuid4().hex}")
+    ordered = rows.repartition("source_file").sortWithinPartitions("source_file", "row_pos")
+    ordered.drop("row_pos").write.partitionBy("source_file").option("header", True).csv(layers.landing)
     for _ in range(2):
         ingest_available(spark, layers)
     raw = tables.raw_table(spark, layers.raw).read()
@@ -1235,7 +1235,3 @@ def evaluate_logistic(spark: SparkSession, folder: str) -> DataFrame:
 def evaluate_random_forest(spark: SparkSession, folder: str) -> DataFrame:
     """M6, M7, M9, E10."""
     return _evaluation(spark, folder, [evaluate.RANDOM_FOREST_7])
-
-
-def _local_scratch(spark: SparkSession) -> str:
-    return checkpoint_folder(spark).removeprefix("file:")

@@ -39,7 +39,7 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """Current rows with the partition column; empty before the first merge."""
-        if not files.complete(self.spark, self.path):
+        if not files.children(self.spark, self.path):
             empty = self.spark.createDataFrame([], self.schema)
             return empty.withColumn(self.partition, self.partition_value())
         return self.spark.read.parquet(self.path).select(*self.schema.names, self.partition)
@@ -68,7 +68,8 @@ class KeyedTable:
             f"{folder}/touched"
         )
         # Rebalancing splits a partition that holds very many of the rows over several tasks.
-        self._write(result.hint("rebalance", self.partition), f"{folder}/merged")
+        balanced = result.hint("rebalance", self.partition)
+        balanced.write.mode("overwrite").partitionBy(self.partition).parquet(f"{folder}/merged")
         counts = action_counts(self.spark.read.parquet(f"{folder}/merged")).first()
         self._publish(folder)
         return {
@@ -93,17 +94,16 @@ class KeyedTable:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def _write(self, rows: DataFrame, path: str) -> None:
+    def _publish(self, folder: str) -> None:
+        staged = self.spark.read.parquet(f"{folder}/merged")
         (
-            rows.write.mode("overwrite")
+            staged.drop("action")
+            .hint("rebalance", self.partition)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.partition)
-            .parquet(path)
+            .parquet(self.path)
         )
-
-    def _publish(self, folder: str) -> None:
-        staged = self.spark.read.parquet(f"{folder}/merged")
-        self._write(staged.drop("action"), self.path)
         # A partition whose last row moved elsewhere has no output and is removed.
         filled = set(files.children(self.spark, f"{folder}/merged"))
         for row in self.spark.read.parquet(f"{folder}/touched").collect():

@@ -22,6 +22,9 @@ FILES_PER_BATCH = 500
 
 UNREADABLE = "unreadable_row"
 
+# The columns of Spark's binary file source.
+FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -152,6 +155,7 @@ def ingest_available(
     prepare(spark)
     reader = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_LISTING)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
     )
