@@ -149,18 +149,22 @@ def _hot(base: DataFrame, slice_rows: int) -> DataFrame:
             (F.col("_count_sum") - F.col("_count")) / (F.col("_position") - 1),
         ),
     ).drop("_count_sum", "_at", "_kind", SLICE)
-    return hot_medians(rows, "_u", "_position", _INPUTS, slice_rows).drop("_position")
+    return hot_medians(rows, "_u", "_position", _INPUTS, slice_rows).drop("_position", "_rows")
 
 
 def split_hot(base: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary users and, if there are any, rows of users above ``hot_rows``."""
-    hot = base.groupBy("_u").count().where(F.col("count") > hot_rows).select("_u")
+    """Rows of ordinary users and, if there are any, rows of users above ``hot_rows``.
+
+    Hot rows carry the number of rows of their user as ``_rows``.
+    """
+    counts = base.groupBy("_u").agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") > hot_rows)
     if hot.isEmpty():
         return base, None
     hot = pinned(hot)
     if hot.count() <= BROADCAST_USERS:
         hot = F.broadcast(hot)
-    return base.join(hot, "_u", "left_anti"), base.join(hot, "_u", "left_semi")
+    return base.join(hot, "_u", "left_anti"), base.join(hot, "_u")
 
 
 def compute(

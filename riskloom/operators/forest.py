@@ -68,6 +68,8 @@ def draw_samples(
         .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("_draw", _uniform(F.col("transaction_id"), F.col("tree"), F.lit(seed)))
         .where(F.col("_draw") < rate / thin)
+        # A fixed number of parts: the sample is small, but growing its trees is not cheap.
+        .repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree")
     )
     smallest = Window.partitionBy("tree").orderBy("_draw", "transaction_id")
     return (
@@ -98,15 +100,25 @@ def grow(points: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple
     return nodes
 
 
-def fit(
+def fit(df: DataFrame, columns: Sequence[str], *args, **options) -> Forest:
+    """The forest of :func:`fit_and_score`."""
+    return fit_and_score(df, columns, *args, **options)[0]
+
+
+def fit_and_score(
     df: DataFrame,
     columns: Sequence[str],
     seed: int = 42,
     contamination: float = CONTAMINATION,
     trees: int = TREES,
     sample: int = SAMPLE,
-) -> Forest:
-    """Grow the forest and set the offset that puts ``contamination`` of ``df`` above 0."""
+    out: str = "raw_score",
+) -> tuple[Forest, DataFrame]:
+    """Grow the forest and score the rows it was grown on.
+
+    The offset puts ``contamination`` of ``df`` above 0. It needs the score of every row,
+    so the scored rows (without the features) are returned as well.
+    """
     columns = list(columns)
     rows = df.count()
     if rows == 0:
@@ -125,10 +137,11 @@ def fit(
 
     drawn = draw_samples(df, columns, rows, seed, trees, sample)
     nodes = pinned(drawn.groupBy("tree").applyInPandas(grow_one, NODES))
-    forest = Forest(nodes, tuple(columns), sample, 0.0)
-    scored = with_raw_score(df.select(*columns), forest, "_raw")
-    offset = quantiles(scored, "_raw", {"offset": 1.0 - contamination}).first()["offset"]
-    return Forest(nodes, tuple(columns), sample, float(offset))
+    plain = Forest(nodes, tuple(columns), sample, 0.0)
+    scored = pinned(with_raw_score(df, plain, out).drop(*columns))
+    offset = float(quantiles(scored, out, {"offset": 1.0 - contamination}).first()["offset"])
+    forest = Forest(nodes, tuple(columns), sample, offset)
+    return forest, scored.withColumn(out, F.col(out) - F.lit(offset))
 
 
 def _arrays(nodes: DataFrame) -> tuple[np.ndarray, ...]:

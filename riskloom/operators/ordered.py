@@ -12,7 +12,9 @@ from sampling, and a recomputed sample may cut differently.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,40 +36,53 @@ def sliced(df: DataFrame, order: Order, slices: int | None = None) -> DataFrame:
     return pinned(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
+def slice_offsets(
+    cut: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, str] | None = None,
+    prior_max: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """What earlier slices of a key add up to: one row per key and slice."""
+    sums, prior_max = dict(sums or {}), dict(prior_max or {})
+    totals = cut.groupBy(*keys, SLICE).agg(
+        *[F.sum(source).alias(f"_sum_{out}") for out, source in sums.items()],
+        *[F.max(source).alias(f"_max_{out}") for out, source in prior_max.items()],
+    )
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = {
+        out: F.coalesce(F.sum(f"_sum_{out}").over(earlier), F.lit(0)).alias(f"_off_{out}")
+        for out in sums
+    }
+    tops = [F.max(f"_max_{out}").over(earlier).alias(f"_top_{out}") for out in prior_max]
+    inside = [f"_sum_{out}" for out in sums]
+    return totals.select(*keys, SLICE, *inside, *before.values(), *tops)
+
+
 def running(
     cut: DataFrame,
     keys: Sequence[str],
     order: Order,
     sums: Mapping[str, str] | None = None,
     prior_max: Mapping[str, str] | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Add running sums (current row included) and maxima of strictly earlier rows.
 
     ``cut`` comes from :func:`sliced` with the same keys and order. ``sums`` and
-    ``prior_max`` map an output column to its input column.
+    ``prior_max`` map an output column to its input column. Only slices listed in
+    ``offsets`` are computed (default: all).
     """
     sums, prior_max = dict(sums or {}), dict(prior_max or {})
-    totals = cut.groupBy(*keys, SLICE).agg(
-        *[F.sum(source).alias(f"_sum_{out}") for out, source in sums.items()],
-        *[F.max(source).alias(f"_max_{out}") for out, source in prior_max.items()],
-    )
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        SLICE,
-        *[F.sum(f"_sum_{out}").over(earlier).alias(f"_off_{out}") for out in sums],
-        *[F.max(f"_max_{out}").over(earlier).alias(f"_top_{out}") for out in prior_max],
-    )
+    if offsets is None:
+        offsets = slice_offsets(cut, keys, sums, prior_max)
+    offsets = offsets.drop(*[f"_sum_{out}" for out in sums])
     here = Window.partitionBy(*keys, SLICE).orderBy(*order)
     upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = here.rowsBetween(Window.unboundedPreceding, -1)
     if not keys:
         # One row per slice: the bound is the number of slices, not the data.
         offsets = F.broadcast(offsets)
-    added = {
-        out: F.coalesce(F.col(f"_off_{out}"), F.lit(0)) + F.sum(source).over(upto)
-        for out, source in sums.items()
-    }
+    added = {out: F.col(f"_off_{out}") + F.sum(source).over(upto) for out, source in sums.items()}
     added |= {
         out: F.greatest(F.col(f"_top_{out}"), F.max(source).over(before))
         for out, source in prior_max.items()
@@ -102,17 +117,32 @@ def quantiles(
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(copies.alias("_n"))
     cut = sliced(counts, [*by, value])
     sizes = cut.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    ranked = running(cut, by, [value], sums={"_end": "_n"})
-    # One row in total, or one row per group.
-    ranked = ranked.join(sizes, by) if by else ranked.crossJoin(F.broadcast(sizes))
+
+    def with_size(rows: DataFrame) -> DataFrame:
+        # One row in total, or one row per group.
+        return rows.join(sizes, by) if by else rows.crossJoin(F.broadcast(sizes))
+
+    spots = {
+        name: F.lit(float(probability)) * (F.col("_size") - 1)
+        for name, probability in probabilities.items()
+    }
+    # Only slices that hold a wanted rank are sorted.
+    first, end = F.col("_off__end"), F.col("_off__end") + F.col("_sum__end")
+    holds = [
+        (rank(spot) >= first) & (rank(spot) < end)
+        for spot in spots.values()
+        for rank in (F.floor, F.ceil)
+    ]
+    offsets = with_size(slice_offsets(cut, by, {"_end": "_n"}))
+    offsets = offsets.where(reduce(operator.or_, holds)).drop("_size")
+    ranked = with_size(running(cut, by, [value], {"_end": "_n"}, offsets=offsets))
 
     def at(rank: Column) -> Column:
         inside = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
         return F.max(F.when(inside, F.col(value).cast("double")))
 
     picks = []
-    for name, probability in probabilities.items():
-        spot = F.lit(float(probability)) * (F.col("_size") - 1)
+    for name, spot in spots.items():
         picks += [
             at(F.floor(spot)).alias(f"_low_{name}"),
             at(F.ceil(spot)).alias(f"_high_{name}"),

@@ -189,17 +189,15 @@ def _history(rows: DataFrame, key: str, columns: Mapping[str, str], sizes: DataF
 def hot_medians(
     rows: DataFrame, key: str, position: str, columns: Mapping[str, str], slice_rows: int
 ) -> DataFrame:
-    """Prefix medians for keys of any size. ``position`` numbers the rows of a key from 1."""
+    """Prefix medians for keys of any size.
+
+    ``position`` numbers the rows of a key from 1, ``_rows`` holds how many it has.
+    """
     sources, outputs = list(columns), list(columns.values())
     # A slice is never shorter than sqrt(rows): the grid of slices stays below the rows.
-    sizes = rows.groupBy(key).agg(F.max(position).alias("_rows")).withColumn(
-        "_b", F.greatest(F.lit(slice_rows).cast("long"), F.ceil(F.sqrt("_rows")))
-    )
-    placed = (
-        rows.join(sizes, key)
-        .withColumn("_q", F.floor((F.col(position) - 1) / F.col("_b")))
-        .drop("_rows", "_b")
-    )
+    length = F.greatest(F.lit(slice_rows).cast("long"), F.ceil(F.sqrt("_rows")))
+    sizes = rows.groupBy(key, "_rows").agg(F.first(length).alias("_b"))
+    placed = rows.withColumn("_q", F.floor((F.col(position) - 1) / length))
     history = _history(placed, key, columns, sizes)
     # New attributes, as both sides of the cogroup descend from the same rows.
     history = history.select(*[F.col(name).alias(name) for name in history.columns])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalar import parsed_number, parsed_time
 from riskloom.operators.normalise import add_missing_columns, normalise_headers
 from riskloom.schema import TRANSACTION_COLUMNS
+from riskloom.session import pinned
 
 # Rule names in reporting order, and the dotted-quad pattern.
 RULES = [
@@ -25,18 +26,25 @@ IPV4 = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?
 FILE, ROW = "source_file", "row_pos"
 
 
+# Repeated ids up to this many are a few dozen MB and are broadcast; the rows then need no
+# shuffle. More of them are joined by shuffle, where a hot id is split as a skewed partition.
+BROADCAST_REPEATS = 200_000
+
+
 def _repeats(rows: DataFrame) -> DataFrame:
     """First row of every id that occurs more than once in its file.
 
     Counting combines before the shuffle, so an id (or a missing id) that fills a third of
     a file costs nothing special, unlike a ``row_number`` over it.
     """
-    return (
+    repeats = (
         rows.groupBy(F.col(FILE).alias("_file"), F.col("transaction_id").alias("_id"))
         .agg(F.min(ROW).alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .where("_copies > 1")
         .drop("_copies")
     )
+    repeats = pinned(repeats)
+    return F.broadcast(repeats) if repeats.count() <= BROADCAST_REPEATS else repeats
 
 
 def annotate(rows: DataFrame) -> DataFrame:

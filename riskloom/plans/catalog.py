@@ -1206,10 +1206,9 @@ def _split_features(spark: SparkSession, folder: str) -> DataFrame:
 def isolation_forest_scores(spark: SparkSession, folder: str) -> DataFrame:
     """M1, M2, M3, E2."""
     rows = pinned(compute(inputs.transactions(spark, folder), carry=["label"]))
-    model = forest.fit(rows, FEATURES)
-    raw = pinned(forest.with_raw_score(rows, model).drop(*FEATURES))
-    choice = scoring.choose_threshold(raw).first()
-    return scoring.scored_rows(raw, choice["threshold"], "isoforest_1", inputs.AS_OF)
+    _, raw = forest.fit_and_score(rows, FEATURES)
+    choice = scoring.choose_threshold(raw)
+    return scoring.scored_rows(raw, choice.value, "isoforest_1", inputs.AS_OF)
 
 
 def _evaluation(spark: SparkSession, folder: str, models: Sequence[str]) -> DataFrame:

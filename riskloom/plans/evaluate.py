@@ -57,12 +57,11 @@ _SCORED = ["transaction_id", "label", "fraud_type", "score"]
 
 def unsupervised(split: DataFrame, columns: Sequence[str], seed: int) -> tuple[DataFrame, DataFrame]:
     """Raw scores of the training rows (for the threshold) and of the test rows."""
-    train = split.where("split = 'train'")
-    model = forest.fit(train, columns, seed)
-    return tuple(
-        forest.with_raw_score(split.where(F.col("split") == side), model, "score").select(*_SCORED)
-        for side in ("train", "test")
+    model, train = forest.fit_and_score(
+        split.where("split = 'train'"), columns, seed, out="score"
     )
+    test = forest.with_raw_score(split.where("split = 'test'"), model, "score")
+    return train.select(*_SCORED), test.select(*_SCORED)
 
 
 def learned(

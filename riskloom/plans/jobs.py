@@ -60,9 +60,8 @@ def train(
         F.max("event_time").alias("last"),
         F.count_if(F.col("label").isNull()).alias("unlabelled"),
     ).first()
-    model = forest.fit(features, FEATURES, seed, contamination)
-    raw = pinned(forest.with_raw_score(features, model).drop(*FEATURES))
-    choice = choose_threshold(raw, labelled=facts["unlabelled"] == 0).first()
+    model, raw = forest.fit_and_score(features, FEATURES, seed, contamination)
+    choice = choose_threshold(raw, labelled=facts["unlabelled"] == 0)
     version = f"isoforest_{now:%Y%m%d%H%M%S}"
     models.save(
         spark,
@@ -74,17 +73,17 @@ def train(
         users=facts["users"],
         contamination=contamination,
         seed=seed,
-        threshold=choice["threshold"],
-        rule=choice["rule"],
+        threshold=choice.value,
+        rule=choice.rule,
         params={"trees": forest.TREES, "sample": model.sample},
         span=(facts["first"], facts["last"]),
     )
-    scored = scored_rows(raw, choice["threshold"], version, now).join(
+    scored = scored_rows(raw, choice.value, version, now).join(
         raw.select("transaction_id", "label"), "transaction_id", "left"
     )
     scored.write.mode("overwrite").parquet(f"{layers.reports}/training_scores/of={version}")
     stored = spark.read.parquet(f"{layers.reports}/training_scores/of={version}")
-    return Trained(version, choice["threshold"], choice["rule"], stored)
+    return Trained(version, choice.value, choice.rule, stored)
 
 
 def local_batch(spark: SparkSession, base: str, **options) -> Trained:

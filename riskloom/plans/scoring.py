@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -20,23 +21,25 @@ BEST_F1 = "max F1 on the precision/recall curve"
 FALLBACK = f"contamination fallback ({CONTAMINATION})"
 
 
+@dataclass(frozen=True)
+class Threshold:
+    value: float
+    rule: str
+
+
 def choose_threshold(
     raw_scores: DataFrame, labelled: bool = True, rate: float = CONTAMINATION
-) -> DataFrame:
-    """One row ``(threshold, rule)`` from ``raw_score`` and ``label`` (E2, or E3 without positives).
+) -> Threshold:
+    """The line on ``raw_score``: best F1 on ``label``, or the alert rate without positives.
 
     Labels only draw the line on the ranking; the model has not seen them.
     """
     named = raw_scores.withColumn("model", F.lit("all"))
-    cut = alert_rate_thresholds(named, {"threshold": rate}, "raw_score").select(
-        F.lit(1).alias("rank"), "threshold", F.lit(FALLBACK).alias("rule")
-    )
-    if labelled:
-        best = best_f1(curve(named, score="raw_score"))
-        cut = cut.unionByName(
-            best.select(F.lit(0).alias("rank"), "threshold", F.lit(BEST_F1).alias("rule"))
-        )
-    return cut.agg(F.min_by(F.struct("threshold", "rule"), "rank").alias("c")).select("c.*")
+    best = best_f1(curve(named, score="raw_score")).first() if labelled else None
+    if best is not None:
+        return Threshold(best["threshold"], BEST_F1)
+    cut = alert_rate_thresholds(named, {"threshold": rate}, "raw_score").first()
+    return Threshold(cut["threshold"], FALLBACK)
 
 
 def scored_rows(

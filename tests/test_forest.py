@@ -75,16 +75,21 @@ def test_grown_tree_isolates_every_distinct_point():
 
 
 def test_threshold_rule_and_fallback(raw):
-    chosen = choose_threshold(raw).first()
-    assert chosen["rule"] == BEST_F1
-    none = choose_threshold(raw.withColumn("label", F.lit(0))).first()
-    assert none["rule"] == FALLBACK
-    unlabelled = choose_threshold(raw, labelled=False).first()
-    assert unlabelled["threshold"] == none["threshold"]
+    assert choose_threshold(raw).rule == BEST_F1
+    none = choose_threshold(raw.withColumn("label", F.lit(0)))
+    assert none.rule == FALLBACK
+    assert choose_threshold(raw, labelled=False).value == none.value
+
+
+def test_training_rows_are_scored_as_any_other_rows(points):
+    model, scored = forest.fit_and_score(points, COLUMNS)
+    again = forest.with_raw_score(points, model).select("transaction_id", F.col("raw_score").alias("b"))
+    gaps = scored.join(again, "transaction_id").where("abs(raw_score - b) > 1e-12")
+    assert scored.count() == points.count() and gaps.count() == 0
 
 
 def test_scored_contract(raw):
-    threshold = choose_threshold(raw).first()["threshold"]
+    threshold = choose_threshold(raw).value
     rows = scored_rows(raw, threshold, "v1", datetime(2026, 1, 2))
     assert rows.columns == [*SCORE_COLUMNS, "raw_score"]
     facts = rows.agg(
