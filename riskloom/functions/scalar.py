@@ -91,17 +91,25 @@ def truth(value: Column) -> Column:
 
 
 def money(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as money, whatever its type; unreadable text becomes null."""
+    """Column ``name`` as money, whatever its type; unreadable text and NaN become null."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StringType):
+        return parsed_money(value)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = F.when(~F.isnan(value), value)
+    return value.cast(MONEY)
+
+
+def instant(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a time, whatever its type; unreadable text becomes null."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return parsed_money(F.col(name))
-    return F.col(name).cast(MONEY)
+        return parsed_time(F.col(name))
+    return F.col(name)
 
 
-def micros(df: DataFrame, name: str) -> Column:
-    """Microseconds since the epoch; text is parsed first. Needs a UTC session."""
-    kind = df.schema[name].dataType
-    value = parsed_time(F.col(name)) if isinstance(kind, T.StringType) else F.col(name)
-    return F.unix_micros(value.cast("timestamp"))
+def micros(time: Column) -> Column:
+    """Microseconds since the epoch. Needs a UTC session."""
+    return F.unix_micros(time.cast("timestamp"))
 
 
 def hours_between(later_micros: Column, earlier_micros: Column) -> Column:

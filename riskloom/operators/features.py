@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalar import hours_between, micros, money, safe_ratio
+from riskloom.functions.scalar import hours_between, instant, micros, money, safe_ratio
 from riskloom.operators.ordered import SLICE, running, sliced
 from riskloom.operators.prefix_median import hot_medians, streamed
 from riskloom.schema import FEATURES
@@ -41,15 +41,16 @@ def _base(df: DataFrame, carry: Sequence[str]) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {sorted(missing)}")
     amount = F.coalesce(money(df, "amount"), F.lit(0).cast("decimal(12,2)"))
-    return df.where(F.col("event_time").isNotNull()).select(
+    time = instant(df, "event_time")
+    return df.where(time.isNotNull()).select(
         "transaction_id",
         "user_id",
-        "event_time",
+        time.alias("event_time"),
         *[F.col(name).alias(f"carry_{name}") for name in carry],
         amount.alias("_amount"),
         # Rows without a user form one group of their own.
         F.coalesce(F.col("user_id").cast("string"), F.lit("\u0001")).alias("_u"),
-        micros(df, "event_time").alias("_t"),
+        micros(time).alias("_t"),
     )
 
 

@@ -26,14 +26,20 @@ SLICE = "_slice"
 Order = Sequence[str | Column]
 
 
-def sliced(df: DataFrame, order: Order, slices: int | None = None) -> DataFrame:
-    """Cut ``df`` into contiguous slices of ``order`` (keys first) and remember the slice.
+def ranged(df: DataFrame, order: Order, slices: int | None = None) -> DataFrame:
+    """Cut ``df`` into contiguous slices of ``order`` (keys first) and name the slice.
 
     Without ``slices`` the number follows ``spark.sql.shuffle.partitions`` and may be
-    coalesced at run time; neighbouring slices are merged, so the order survives.
+    coalesced at run time; neighbouring slices are merged, so the order survives. The
+    result is for one pass; :func:`sliced` is for several.
     """
-    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
-    return pinned(ranged.withColumn(SLICE, F.spark_partition_id()))
+    parts = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    return parts.withColumn(SLICE, F.spark_partition_id())
+
+
+def sliced(df: DataFrame, order: Order, slices: int | None = None) -> DataFrame:
+    """As :func:`ranged`, written once so that several passes agree."""
+    return pinned(ranged(df, order, slices))
 
 
 def slice_offsets(

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.ordered import SLICE, sliced
+from riskloom.operators.ordered import SLICE, ranged
+from riskloom.session import pinned
 
 
 def _with_doubles(schema: T.StructType, names) -> T.StructType:
@@ -136,29 +137,37 @@ def _history(rows: DataFrame, key: str, columns: Mapping[str, str], sizes: DataF
     series = F.explode(
         F.array(*[F.struct(F.lit(s).alias("_series"), F.col(s).alias("_value")) for s in columns])
     )
-    stacked = rows.select(key, "_q", series.alias("_s")).select(key, "_q", "_s.*")
+    stacked = rows.select(key, "_q", "_b", series.alias("_s")).select(key, "_q", "_b", "_s.*")
     counts = (
         stacked.where(F.col("_value").isNotNull())
-        .groupBy(key, "_series", "_value", "_q")
+        .groupBy(key, "_series", "_value", "_q", "_b")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    cut = sliced(counts, [key, "_series", "_value"])
+    # Value slices of about the length of a time slice. Equal values share a rank, so they
+    # stay in one slice; ``_v`` numbers the slices in the order of their values.
+    place = F.rank().over(Window.partitionBy(key, "_series", SLICE).orderBy("_value"))
+    cut = pinned(
+        ranged(counts, [key, "_series", "_value"])
+        .withColumn("_part", F.floor((place - 1) / F.col("_b")))
+        .withColumn("_v", F.col(SLICE) * F.lit(2**32) + F.col("_part"))
+        .drop(SLICE, "_part", "_b")
+    )
 
     # How many values of each value slice were seen before each time slice.
-    cells = cut.groupBy(key, "_series", SLICE, "_q").agg(F.sum("_n").alias("_n"))
+    cells = cut.groupBy(key, "_series", "_v", "_q").agg(F.sum("_n").alias("_n"))
     last = F.floor((F.col("_rows") - 1) / F.col("_b"))
     grid = (
-        cells.select(key, "_series", SLICE)
+        cells.select(key, "_series", "_v")
         .distinct()
         .join(sizes, key)
         .withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     )
     earlier = (Window.unboundedPreceding, -1)
-    by_time = Window.partitionBy(key, "_series", SLICE).orderBy("_q").rowsBetween(*earlier)
-    by_rank = Window.partitionBy(key, "_series", "_q").orderBy(SLICE)
+    by_time = Window.partitionBy(key, "_series", "_v").orderBy("_q").rowsBetween(*earlier)
+    by_rank = Window.partitionBy(key, "_series", "_q").orderBy("_v")
     half = F.floor(F.col("_b") / 2)
     seen = (
-        grid.join(cells, [key, "_series", SLICE, "_q"], "left")
+        grid.join(cells, [key, "_series", "_v", "_q"], "left")
         .withColumn("_before", F.coalesce(F.sum("_n").over(by_time), F.lit(0)))
         .where("_before > 0")
         .withColumn("_upto", F.sum("_before").over(by_rank))
@@ -170,7 +179,7 @@ def _history(rows: DataFrame, key: str, columns: Mapping[str, str], sizes: DataF
         .withColumn("_high", F.floor(F.col("_size") / 2) + half + F.lit(1))
     )
     wanted = seen.where("_below <= _high AND _upto > _low").select(
-        key, "_series", SLICE, F.col("_q").alias("_for"), "_below", "_size", "_low", "_high"
+        key, "_series", "_v", F.col("_q").alias("_for"), "_below", "_size", "_low", "_high"
     )
     # The value slice around the median is wanted by nearly every time slice: salted.
     salted = wanted.withColumn(
@@ -178,7 +187,7 @@ def _history(rows: DataFrame, key: str, columns: Mapping[str, str], sizes: DataF
     )
     values = cut.withColumn("_salt", F.pmod(F.xxhash64("_value", "_q"), F.lit(salts)))
     return (
-        values.join(salted, [key, "_series", SLICE, "_salt"])
+        values.join(salted, [key, "_series", "_v", "_salt"])
         .where(F.col("_q") < F.col("_for"))
         .groupBy(key, "_series", "_for", "_value", "_below", "_size", "_low", "_high")
         .agg(F.sum("_n").alias("_n"))
@@ -196,8 +205,10 @@ def hot_medians(
     sources, outputs = list(columns), list(columns.values())
     # A slice is never shorter than sqrt(rows): the grid of slices stays below the rows.
     length = F.greatest(F.lit(slice_rows).cast("long"), F.ceil(F.sqrt("_rows")))
-    sizes = rows.groupBy(key, "_rows").agg(F.first(length).alias("_b"))
-    placed = rows.withColumn("_q", F.floor((F.col(position) - 1) / length))
+    placed = rows.withColumn("_b", length).withColumn(
+        "_q", F.floor((F.col(position) - 1) / F.col("_b"))
+    )
+    sizes = placed.select(key, "_rows", "_b").distinct()
     history = _history(placed, key, columns, sizes)
     # New attributes, as both sides of the cogroup descend from the same rows.
     history = history.select(*[F.col(name).alias(name) for name in history.columns])
@@ -223,5 +234,5 @@ def hot_medians(
         placed.groupBy(key, "_q")
         .cogroup(history.groupBy("_owner", "_for"))
         .applyInArrow(fill, _with_doubles(placed.schema, outputs))
-        .drop("_q")
+        .drop("_q", "_b")
     )
