@@ -44,11 +44,11 @@ def action_counts(merge: DataFrame) -> DataFrame:
 
 def check_source(source: DataFrame, key: str) -> None:
     """A merge source must not repeat a key or leave it out (D3)."""
-    repeated = source.groupBy(key).count().where("count > 1")
-    if not source.where(F.col(key).isNull()).isEmpty():
-        raise ValueError(f"merge source has rows without {key}")
-    if not repeated.isEmpty():
-        raise ValueError(f"merge source repeats a {key}")
+    keys = source.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    wrong = keys.where("key IS NULL OR copies > 1").take(1)
+    if wrong:
+        problem = "has rows without" if wrong[0]["key"] is None else "repeats"
+        raise ValueError(f"merge source {problem} {key}")
 
 
 def first_per_key(source: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from riskloom.operators import forest, merge, metrics, validate
 from riskloom.operators import normalise as norm
 from riskloom.operators.features import compute, latest_per_user, trailing_counts
 from riskloom.operators.ordered import positions, quantiles
-from riskloom.plans import evaluate, inputs, monitor, profile, scoring
+from riskloom.plans import evaluate, inputs, jobs, monitor, profile, scoring
 from riskloom.schema import ABSOLUTE_FEATURES, FEATURES, TRANSACTION_COLUMNS
 from riskloom.session import checkpoint_folder, pinned
 from riskloom.sources import tables
@@ -1211,6 +1211,16 @@ def isolation_forest_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.scored_rows(raw, choice.value, "isoforest_1", inputs.AS_OF)
 
 
+@register("stored_model_scores")
+def stored_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Train, store, load the newest model, score with it."""
+    rows = inputs.transactions(spark, folder)
+    layers = Layers(f"{checkpoint_folder(spark)}/models-{uuid.uuid4().hex}")
+    jobs.train(spark, rows, layers, now=inputs.AS_OF)
+    since = inputs.AS_OF - timedelta(days=10)
+    return jobs.score_rows(spark, rows, layers, inputs.AS_OF, since)
+
+
 def _evaluation(spark: SparkSession, folder: str, models: Sequence[str]) -> DataFrame:
     split = _split_features(spark, folder)
     choosing, reporting = (pinned(part) for part in evaluate.scored(split, models))

@@ -28,24 +28,34 @@ def _position() -> Column:
     )
 
 
+def _column_names(header: tuple[str, ...]) -> list[str]:
+    """Tidy names; of a repeated column only the first keeps its name."""
+    names: list[str] = []
+    for number, cell in enumerate(header):
+        name = cell.strip().lower()
+        names.append(name if name and name not in names else f"#{number}")
+    return names
+
+
 def _read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    names = [name.strip().lower() for name in header]
-    if len(set(names)) < len(names):
-        raise ValueError(f"repeated column in header {header}")
+    names = _column_names(header)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
     rows = (
         spark.read.option("header", True)
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(schema)
         .csv(paths)
-        .select("*", F.col("_metadata.file_path").alias("source_file"), _position().alias("row_pos"))
     )
-    cleaned = {
-        name: without_missing_tokens(F.col(name)) for name in names if name not in KEEPS_TOKENS
-    }
-    kept = [F.col(name) for name in names if name in LANDING.names]
-    return rows.withColumns(cleaned).select(*kept, CORRUPT, "source_file", "row_pos")
+    kept = [
+        F.col(name) if name in KEEPS_TOKENS else without_missing_tokens(F.col(name)).alias(name)
+        for name in names
+        if name in LANDING.names
+    ]
+    return rows.select(
+        *kept, CORRUPT, F.col("_metadata.file_path").alias("source_file"), _position().alias("row_pos")
+    )
 
 
 def read_landing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -60,7 +70,7 @@ def read_landing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     for path in sorted(paths):
         line = files.first_line(spark, path)
         if line and line.strip():
-            groups[tuple(next(csv.reader([line.lstrip("﻿")])))].append(path)
+            groups[tuple(next(csv.reader([line.lstrip("\ufeff")])))].append(path)
     parts = [_read_group(spark, header, group) for header, group in groups.items()]
     if not parts:
         position = "struct<block: bigint, line: bigint>"

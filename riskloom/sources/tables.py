@@ -37,12 +37,18 @@ class KeyedTable:
     def staging(self) -> str:
         return f"{self.path}_staging"
 
+    def _empty(self) -> DataFrame:
+        empty = self.spark.createDataFrame([], self.schema)
+        return empty.withColumn(self.partition, self.partition_value())
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self._empty().schema).parquet(path)
+
     def read(self) -> DataFrame:
         """Current rows with the partition column; empty before the first merge."""
         if not files.children(self.spark, self.path):
-            empty = self.spark.createDataFrame([], self.schema)
-            return empty.withColumn(self.partition, self.partition_value())
-        return self.spark.read.parquet(self.path).select(*self.schema.names, self.partition)
+            return self._empty()
+        return self._read(self.path)
 
     def merge(self, source: DataFrame, run_id: str) -> dict[str, int]:
         """Upsert ``source``; returns inserted, updated and total rows.
@@ -92,7 +98,7 @@ class KeyedTable:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         ).withColumn(self.partition, self.partition_value())
         rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._read(path)
 
     def _publish(self, folder: str) -> None:
         staged = self.spark.read.parquet(f"{folder}/merged")

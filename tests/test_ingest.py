@@ -78,3 +78,14 @@ def test_processed_layer_reads_live_and_archive(spark, tmp_path, archive):
     spark.range(2).write.parquet(f"{tmp_path}/old")
     rows = processed_layer(spark, f"{tmp_path}/live", f"{tmp_path}/old" if archive else None)
     assert rows.count() == (5 if archive else 3)
+
+
+def test_a_file_that_is_no_table_does_not_stop_the_others(spark, tmp_path):
+    layers = Layers(str(tmp_path))
+    write(layers.landing, "a.csv", [good("t1"), good("t2", merchant_id='"a ""b"", c"')])
+    Path(layers.landing, "b.csv").write_bytes(b"\x01\xff.x,`y,,a,a\n\x02\x03\n")
+    assert ingest_available(spark, layers) == 2
+    rows = {r["transaction_id"]: r["merchant_id"] for r in raw_table(spark, layers.raw).read().collect()}
+    assert rows == {"t1": "Amazon", "t2": 'a "b", c'}
+    bad = spark.read.parquet(layers.checked).where("cast(is_bad as boolean)").collect()
+    assert len(bad) == 1 and "missing_transaction_id" in bad[0]["failure_reason"]
