@@ -37,13 +37,26 @@ def _column_names(header: tuple[str, ...]) -> list[str]:
     return names
 
 
-def _read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    names = _column_names(header)
+def _read_unknown(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All lines of files without any known column; each is a row that cannot be read."""
+    return spark.read.text(paths).select(
+        F.lit(None).cast("string").alias("transaction_id"),
+        F.col("value").alias(CORRUPT),
+        F.col("_metadata.file_path").alias("source_file"),
+        _position().alias("row_pos"),
+    )
+
+
+def _read_group(spark: SparkSession, first_line: str, paths: list[str]) -> DataFrame:
+    names = _column_names(tuple(next(csv.reader([first_line.lstrip("\ufeff")]))))
+    if not set(names) & set(LANDING.names):
+        return _read_unknown(spark, paths)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
     rows = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(schema)
         .csv(paths)
@@ -66,12 +79,12 @@ def read_landing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     scan. Empty files are skipped. A row with too many or too few cells keeps its text in
     ``_corrupt``.
     """
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: dict[str, list[str]] = defaultdict(list)
     for path in sorted(paths):
         line = files.first_line(spark, path)
         if line and line.strip():
-            groups[tuple(next(csv.reader([line.lstrip("\ufeff")])))].append(path)
-    parts = [_read_group(spark, header, group) for header, group in groups.items()]
+            groups[line].append(path)
+    parts = [_read_group(spark, line, group) for line, group in groups.items()]
     if not parts:
         position = "struct<block: bigint, line: bigint>"
         schema = T.StructType(
