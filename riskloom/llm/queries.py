@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskloom.llm import chat, sharding
+from riskloom.llm import bpe, chat, sharding
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
+    "op7_byte_bpe": bpe.query,
     "op9_chat_round_trip": chat.query,
 }
 
