@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, packing, sharding
+from riskloom.llm import bpe, chat, language, packing, quality, sharding
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
+    "op3_hierarchical_language": language.query,
+    "op6_neighbour_quality": quality.query,
     "op7_byte_bpe": bpe.query,
     "op8_best_fit_packing": packing.query,
     "op9_chat_round_trip": chat.query,
