@@ -79,7 +79,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> dict[int, bytes]:
 
     rows = sample(documents, labels).mapInArrow(featured, "label int, x binary")
     # One group: the sample has a fixed bound.
-    fitted = rows.groupBy(F.lit(0)).applyInPandas(_factorised, "part int, data binary")
+    fitted = rows.groupBy().applyInPandas(_factorised, "part int, data binary")
     return {row.part: bytes(row.data) for row in fitted.collect()}
 
 
