@@ -1,7 +1,8 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
 Training takes at most ``PER_CLASS`` labelled documents of each class (lowest hash first). Their
-byte trigrams, log-damped and weighted by how few of them hold the trigram, are factorised; the
+byte trigrams, log-damped and weighted by how few of them hold the trigram, and the share of
+words that repeat the one before are factorised; the
 leading ``RANK`` right singular vectors span the space. Every document is projected and compared
 with all labelled vectors by exact cosine products, a block of documents at a time; the
 ``NEIGHBOURS`` most similar ones vote, weighted by similarity to the power ``POWER``.
@@ -26,18 +27,37 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import fold, table
+from riskloom.llm.common import fold, table, utf8
 from riskloom.llm.features import WIDTH, counts, unit
+from riskloom.llm.hashing import row_slices, words
 
 PER_CLASS = 1500
 RANK = 48
 NEIGHBOURS = 15
 POWER = 4
+REPEATS = 2
 
 
 def damped(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Log-damped trigram counts and, behind them, the share of words that repeat the last one."""
+    raw, offsets = utf8(texts)
+    repeated = np.zeros(len(texts), np.float32)
+    for first, end, part, own in row_slices(raw, offsets):
+        hashes, _, _, bounds = words(part, own)
+        same = np.zeros(len(hashes) + 1, np.int64)
+        same[2:] = np.cumsum(hashes[1:] == hashes[:-1])
+        pairs = np.maximum(np.diff(bounds) - 1, 0)
+        found = same[bounds[1:]] - same[np.minimum(bounds[:-1] + 1, bounds[1:])]
+        repeated[first:end] = found / np.maximum(pairs, 1)
     for first, end, found in counts(texts):
-        yield first, end, np.log1p(found)
+        yield first, end, np.hstack([np.log1p(found), repeated[first:end, None]])
+
+
+def weighted(x: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Unit rows; the share of repeats weighs up to REPEATS times all trigrams together."""
+    trigrams = x[:, :-1] * rarity
+    norms = np.linalg.norm(trigrams, axis=1, keepdims=True)
+    return unit(np.hstack([trigrams, REPEATS * x[:, -1:] * norms]))
 
 
 def sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -54,11 +74,11 @@ def sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def _factorised(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["label", "x"])
     x = np.stack([np.frombuffer(row, np.float16) for row in rows.x]).astype(np.float32)
-    rarity = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
-    x = unit(x * rarity)
+    rarity = np.log((1 + len(x)) / (1 + (x[:, :-1] > 0).sum(0))).astype(np.float32) + 1
+    x = weighted(x, rarity)
     random = np.random.default_rng(6)
     rank = min(RANK, len(x))
-    range_of = x @ random.standard_normal((WIDTH, rank + 16)).astype(np.float32)
+    range_of = x @ random.standard_normal((WIDTH + 1, rank + 16)).astype(np.float32)
     for _ in range(2):
         range_of = x @ (x.T @ np.linalg.qr(range_of)[0])
     q = np.linalg.qr(range_of)[0]
@@ -86,14 +106,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> dict[int, bytes]:
 class Model:
     def __init__(self, parts: dict[int, bytes]):
         self.rarity, space, known, self.labels = (np.frombuffer(parts[i], np.float32) for i in range(4))
-        self.space = space.reshape(WIDTH, -1)
+        self.space = space.reshape(WIDTH + 1, -1)
         self.known = known.reshape(len(self.labels), -1)
         self.prior = float(self.labels.mean())
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.prior in (0.0, 1.0):
             return np.full(len(x), self.prior)
-        cosines = unit((x * self.rarity) @ self.space) @ self.known.T
+        cosines = unit(weighted(x, self.rarity) @ self.space) @ self.known.T
         near = np.argpartition(-cosines, min(NEIGHBOURS, len(self.labels)) - 1, 1)[:, :NEIGHBOURS]
         weights = np.maximum(np.take_along_axis(cosines, near, 1), 0).astype(np.float64) ** POWER
         total = weights.sum(1)
