@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, language, packing, quality, sharding
+from riskloom.llm import bpe, chat, language, packing, permutation, quality, sharding, voronoi
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
+    "op2_permutation_index": permutation.query,
     "op3_hierarchical_language": language.query,
+    "op4_voronoi_top_k": voronoi.query,
     "op6_neighbour_quality": quality.query,
     "op7_byte_bpe": bpe.query,
     "op8_best_fit_packing": packing.query,
@@ -14,5 +16,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_voronoi_top_k": voronoi.ORACLE,
     "op9_chat_round_trip": chat.ORACLE,
 }
