@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, language, packing, permutation, quality, sharding, voronoi
+from riskloom.llm import bpe, chat, language, packing, permutation, quality, sharding, substrings, voronoi
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_byte_bpe": bpe.query,
     "op8_best_fit_packing": packing.query,
     "op9_chat_round_trip": chat.query,
+    "op10_substring_anchors": substrings.query,
 }
 
 ORACLES = {
