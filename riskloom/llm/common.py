@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.session import checkpoint_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -47,3 +50,16 @@ def slices(offsets: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]
         end = min(max(end, start + 1), rows)
         yield start, end
         start = end
+
+
+def stored(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read back.
+
+    Smaller than a checkpoint for wide intermediate tables; deleted when the driver ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_folder(spark)}/stored-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    (df.coalesce(parts) if parts else df).write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

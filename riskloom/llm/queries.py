@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, language, packing, permutation, quality, sharding, substrings, voronoi
+from riskloom.llm import bpe, chat, jaccard, language, packing, permutation, quality, sharding, substrings, voronoi
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
     "op2_permutation_index": permutation.query,
     "op3_hierarchical_language": language.query,
     "op4_voronoi_top_k": voronoi.query,
+    "op5_heavy_light_jaccard": jaccard.query,
     "op6_neighbour_quality": quality.query,
     "op7_byte_bpe": bpe.query,
     "op8_best_fit_packing": packing.query,
