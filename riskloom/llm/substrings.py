@@ -15,7 +15,7 @@ other. The work has three steps:
 
 Documents, not positions, are shipped: 4 bytes for each different run of a document in step 1
 and 8 for each candidate window in step 2, as packed arrays per bucket. Runs shared by documents of one
-batch are settled in the batch and sent on once, so a run that stands in a third of all
+batch (FLUSH runs) are settled there and sent on once, so a run that stands in a third of all
 documents costs one entry per batch. There are as many buckets as shuffle partitions; a bucket
 is about (words / buckets) entries. Step 1 may report too much (32-bit hashes), which costs
 time only; windows are compared by 64-bit hashes.
@@ -43,6 +43,7 @@ from riskloom.llm.hashing import grams, row_slices, words
 
 WINDOW = 20
 BLOCK = 10
+FLUSH = 1 << 20  # runs or windows that are settled among themselves at a time
 _PACKED = "bucket int, settled boolean, docs binary, counts binary, hashes binary, marks binary"
 _FIRST = np.iinfo(np.int64).min
 
@@ -78,10 +79,11 @@ def _packed(bucket: np.ndarray, doc: np.ndarray, hashes: np.ndarray, marks: np.n
     return rows
 
 
-def _table(rows: list[tuple], ddl_names: list[str]) -> pa.RecordBatch:
+def _tables(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 4]
-    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-    return pa.RecordBatch.from_arrays(columns, names=ddl_names)
+    for start in range(0, len(rows), 1000):
+        parts = zip(*rows[start : start + 1000])
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(parts, kinds)], names=_NAMES)
 
 
 _NAMES = [part.split()[0] for part in _PACKED.split(", ")]
@@ -98,7 +100,7 @@ def _probe(buckets: int, window: int, block: int):
         for batch in batches:
             ids = _ids(batch.column(0))
             raw, offsets = utf8(batch.column(1))
-            docs, hashes, marks = [], [], []
+            held = []
             for first, _, part, own in row_slices(raw, offsets):
                 found, _, _, bounds = words(part, own)
                 full = np.diff(bounds) >= window
@@ -110,29 +112,30 @@ def _probe(buckets: int, window: int, block: int):
                 order = np.lexsort((~reference, runs, row))
                 row, runs, reference = row[order], runs[order], reference[order]
                 once = _first_of_runs(row, runs)
-                docs.append(ids[first + row[once]])
-                hashes.append(runs[once])
-                marks.append(reference[once])
-            if not docs:
-                continue
-            doc, hashed, mark = map(np.concatenate, (docs, hashes, marks))
-            order = np.lexsort((~mark, hashed))
-            doc, hashed, mark = doc[order], hashed[order], mark[order]
-            leader = _first_of_runs(hashed)
-            size = np.diff(np.append(np.flatnonzero(leader), len(hashed)))
-            shared = np.repeat(size > 1, size)
-            low = (hashed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            place = ((hashed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            rows = _packed(place[leader], doc[leader], low[leader], mark[leader], False)
-            if shared.any():
-                by_doc = doc[shared] % buckets
-                rows += _packed(by_doc, doc[shared], low[shared], mark[shared], True)
-            for start in range(0, len(rows), 1000):
-                yield _table(rows[start : start + 1000], _NAMES)
+                held.append((ids[first + row[once]], runs[once], reference[once]))
+                if sum(len(part[0]) for part in held) >= FLUSH:
+                    yield from _tables(_probed(held, buckets))
+                    held = []
+            if held:
+                yield from _tables(_probed(held, buckets))
 
     return run
 
 
+def _probed(held: list[tuple], buckets: int) -> list[tuple]:
+    """Packed rows of some documents' runs; a run that several of them have is settled."""
+    doc, hashed, mark = map(np.concatenate, zip(*held))
+    order = np.lexsort((~mark, hashed))
+    doc, hashed, mark = doc[order], hashed[order], mark[order]
+    leader = _first_of_runs(hashed)
+    size = np.diff(np.append(np.flatnonzero(leader), len(hashed)))
+    shared = np.repeat(size > 1, size)
+    low = (hashed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    place = ((hashed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    rows = _packed(place[leader], doc[leader], low[leader], mark[leader], False)
+    return rows + _packed(doc[shared] % buckets, doc[shared], low[shared], mark[shared], True)
+
+
 def _opened(rows: pd.DataFrame, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     docs, hashes, marks = [np.zeros(0, np.int64)], [np.zeros(0, kind)], [np.zeros(0, bool)]
     for row in rows.itertuples():
@@ -151,7 +154,23 @@ def _by_document(doc: np.ndarray, hashes: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"key": doc[edges[:-1]], "found": found})
 
 
-def _anchors(rows: pd.DataFrame) -> pd.DataFrame:
+def _to_owners(doc: np.ndarray, hashes: np.ndarray, buckets: int) -> pd.DataFrame:
+    """What a bucket tells documents, packed by the bucket of the document."""
+    rows = _packed(doc % buckets, doc, hashes, np.zeros(len(doc), bool), True)
+    return pd.DataFrame(rows, columns=_NAMES)
+
+
+def _owned(kind):
+    """One row per document with all that the buckets told it."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        doc, hashes, _ = _opened(rows, kind)
+        return _by_document(doc, hashes)
+
+    return run
+
+
+def _anchors(rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Runs of a bucket that stand in several places, one of them a reference block."""
     settled_doc, settled, _ = _opened(rows[rows.settled], np.uint32)
     doc, hashes, mark = _opened(rows[~rows.settled], np.uint32)
@@ -162,10 +181,10 @@ def _anchors(rows: pd.DataFrame) -> pd.DataFrame:
     if len(start):
         anchor = np.repeat((size > 1) & np.logical_or.reduceat(mark, start), size)
         doc, hashes = doc[anchor], hashes[anchor]
-    return _by_document(np.concatenate([settled_doc, doc]), np.concatenate([settled, hashes]))
+    return _to_owners(np.concatenate([settled_doc, doc]), np.concatenate([settled, hashes]), buckets)
 
 
-def _earlier(rows: pd.DataFrame) -> pd.DataFrame:
+def _earlier(rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Windows of a bucket that a smaller id also has."""
     settled_doc, settled, _ = _opened(rows[rows.settled], np.uint64)
     doc, hashes, _ = _opened(rows[~rows.settled], np.uint64)
@@ -174,7 +193,8 @@ def _earlier(rows: pd.DataFrame) -> pd.DataFrame:
     start = np.flatnonzero(_first_of_runs(hashes))
     size = np.diff(np.append(start, len(hashes)))
     later = doc > np.repeat(doc[start], size)
-    return _by_document(np.concatenate([settled_doc, doc[later]]), np.concatenate([settled, hashes[later]]))
+    told = np.concatenate([settled_doc, doc[later]]), np.concatenate([settled, hashes[later]])
+    return _to_owners(*told, buckets)
 
 
 def _extend(buckets: int, window: int, block: int):
@@ -185,7 +205,7 @@ def _extend(buckets: int, window: int, block: int):
             ids = _ids(batch.column(0))
             raw, offsets = utf8(batch.column(1))
             found = batch.column(2)
-            docs, hashes = [], []
+            held = []
             for first, end, part, own in row_slices(raw, offsets):
                 hashed, _, _, bounds = words(part, own)
                 runs, run_edges = grams(hashed, bounds, block)
@@ -195,35 +215,36 @@ def _extend(buckets: int, window: int, block: int):
                     a, b = wide_edges[row], wide_edges[row + 1]
                     if a == b:
                         continue
-                    parts = found[first + row].as_py() or []
-                    known = np.frombuffer(b"".join(parts), np.uint32)
+                    known = np.frombuffer(found[first + row].as_py() or b"", np.uint32)
                     hit = np.isin(low[run_edges[row] : run_edges[row + 1]], known)
                     seen = np.concatenate([[0], np.cumsum(hit)])
                     starts = np.arange(b - a)
                     inside = seen[starts + window - block + 1] > seen[starts]
                     mine = np.unique(wide[a:b][inside])
-                    docs.append(np.full(len(mine), ids[first + row]))
-                    hashes.append(mine)
-            if not docs:
-                continue
-            doc, hashed = np.concatenate(docs), np.concatenate(hashes)
-            order = np.lexsort((doc, hashed))
-            doc, hashed = doc[order], hashed[order]
-            start = np.flatnonzero(_first_of_runs(hashed))
-            size = np.diff(np.append(start, len(hashed)))
-            later = doc > np.repeat(doc[start], size)
-            once = _first_of_runs(hashed)
-            place = ((hashed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            none = np.zeros(len(doc), bool)
-            rows = _packed(place[once], doc[once], hashed[once], none[once], False)
-            if later.any():
-                rows += _packed(doc[later] % buckets, doc[later], hashed[later], none[later], True)
-            for begin in range(0, len(rows), 1000):
-                yield _table(rows[begin : begin + 1000], _NAMES)
+                    held.append((np.full(len(mine), ids[first + row]), mine))
+                if sum(len(part[0]) for part in held) >= FLUSH:
+                    yield from _tables(_extended(held, buckets))
+                    held = []
+            if held:
+                yield from _tables(_extended(held, buckets))
 
     return run
 
 
+def _extended(held: list[tuple], buckets: int) -> list[tuple]:
+    """Packed rows of some documents' windows; all but those of the smallest id are settled."""
+    doc, hashed = map(np.concatenate, zip(*held))
+    order = np.lexsort((doc, hashed))
+    doc, hashed = doc[order], hashed[order]
+    once = _first_of_runs(hashed)
+    start = np.flatnonzero(once)
+    later = doc > np.repeat(doc[start], np.diff(np.append(start, len(hashed))))
+    place = ((hashed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    none = np.zeros(len(doc), bool)
+    rows = _packed(place[once], doc[once], hashed[once], none[once], False)
+    return rows + _packed(doc[later] % buckets, doc[later], hashed[later], none[later], True)
+
+
 def removed(hashes: np.ndarray, bounds: np.ndarray, window: int, known: list[np.ndarray]) -> np.ndarray:
     """Marks the words of each row that a window which came earlier covers."""
     wide, edges = grams(hashes, bounds, window)
@@ -253,12 +274,16 @@ def repeats(documents: DataFrame, window: int = WINDOW, block: int = BLOCK) -> D
     # Both joins read the same exchange of the texts.
     by_key = rows.repartition(buckets, "key")
     probes = rows.mapInArrow(_probe(buckets, window, block), _PACKED)
-    anchors = probes.groupBy("bucket").applyInPandas(_anchors, "key long, found binary")
-    anchors = anchors.groupBy("key").agg(F.collect_list("found").alias("found"))
+    told = lambda f, kind, rows: (
+        rows.groupBy("bucket")
+        .applyInPandas(lambda part: f(part, buckets), _PACKED)
+        .groupBy("bucket")
+        .applyInPandas(_owned(kind), "key long, found binary")
+    )
+    anchors = told(_anchors, np.uint32, probes)
     near = by_key.join(anchors, "key").select("key", "text", "found")
     windows = near.mapInArrow(_extend(buckets, window, block), _PACKED)
-    earlier = windows.groupBy("bucket").applyInPandas(_earlier, "key long, found binary")
-    earlier = earlier.groupBy("key").agg(F.collect_list("found").alias("found"))
+    earlier = told(_earlier, np.uint64, windows)
     return by_key.join(earlier, "key", "left").select("key", "text", "found")
 
 
@@ -275,7 +300,7 @@ def deduplicated(documents: DataFrame, window: int = WINDOW, digest: bool = Fals
             totals, lost, kept = [], [], []
             for first, end, part, own in row_slices(raw, offsets):
                 hashes, _, _, bounds = words(part, own)
-                known = [np.frombuffer(b"".join(found[i].as_py() or []), np.uint64) for i in range(first, end)]
+                known = [np.frombuffer(found[i].as_py() or b"", np.uint64) for i in range(first, end)]
                 gone = removed(hashes, bounds, window, known)
                 for row in range(end - first):
                     cut = gone[bounds[row] : bounds[row + 1]]
