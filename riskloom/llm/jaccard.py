@@ -10,9 +10,9 @@ first ``|A| - ceil(t * |A|) + k`` of both share k. The order is from rare to fre
 * The boundary minimises the estimated cost, subsets enumerated plus list entries scanned,
   over the histogram of sizes; the mean list length is measured on the data.
 
-No list is expanded into all its pairs. Each list first compares its members with one hub (the
-one whose prefix starts with the fewest rare shingles, so the least edited copy), which links
-a group of near copies. Then only lists that still hold several components are joined again:
+No list is expanded into all its pairs. Each list has a hub, the member with the fewest rare
+shingles before it, so the least edited copy, and each set is first compared with the hub that
+it shares most lists with, which links a group of near copies. Then only lists that still hold several components are joined again:
 members outside the most frequent component with members of other components. So all
 candidate pairs that could change a component are compared, by exact intersections.
 
@@ -43,6 +43,7 @@ SHINGLE, PERCENT = 3, 90
 FREQUENT = 1 << 16
 OFTEN = 8
 FLUSH = 1 << 20
+BROADCAST_KEYS = 500_000
 _FIRST = np.iinfo(np.int64).min
 
 
@@ -156,20 +157,32 @@ def _postings(frequent, limit: int, size: int, percent: int):
                     if n[row] * 100 >= limit * percent:
                         parts.append((own[:prefix], np.arange(min(prefix, len(own)))))
                     for key, at in parts:
-                        out.append((key.view(np.int64), np.full(len(key), sid[row]), np.full(len(key), n[row]), at))
+                        out.append((key.view(np.int64), np.full(len(key), sid[row]), at << 32 | n[row]))
                 if out:
                     columns = [_long(np.concatenate(column)) for column in zip(*out)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "sid", "n", "at"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "sid", "spot"])
 
     return run
 
 
-def _sets(size: int):
+def _compared(size: int, percent: int):
+    """Those of (x, y, text of x, text of y) that link."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, shingles, edges in shingle_sets(batch.column(0), size):
-                lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(shingles.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([_long(set_ids(shingles, edges)), lists], names=["sid", "shingles"])
+        def sets(texts: pa.Array) -> list[np.ndarray]:
+            return [s[a:b] for _, s, e in shingle_sets(texts, size) for a, b in zip(e[:-1], e[1:])]
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                x, y = (batch.column(i).to_numpy() for i in (0, 1))
+                # Rows come in order of x, whose text is hashed once a batch.
+                own, first, back = np.unique(x, return_index=True, return_inverse=True)
+                left, right = sets(batch.column(2).take(pa.array(first))), sets(batch.column(3))
+                common = np.array([len(np.intersect1d(left[i], b, True)) for i, b in zip(back, right)], np.int64)
+                total = np.array([len(left[i]) + len(b) for i, b in zip(back, right)], np.int64)
+                linked = 100 * common >= percent * (total - common)
+                yield pa.RecordBatch.from_arrays([_long(x[linked]), _long(y[linked])], names=["x", "y"])
 
     return run
 
@@ -185,17 +198,16 @@ def _possible(percent: int) -> str:
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(x, y) of those pairs of sets that link, as representatives."""
-    wanted = pairs.selectExpr("x AS sid").union(pairs.selectExpr("y AS sid")).distinct()
-    wanted = wanted.join(classes, "sid").select("key")
-    chosen = texts.join(wanted, "key", "left_semi").select("text")
-    sets = stored(chosen.mapInArrow(_sets(size), "sid long, shingles array<long>").dropDuplicates(["sid"]))
-    sets = sets.join(classes, "sid")
-    left = sets.select(F.col("sid").alias("x"), F.col("shingles").alias("a"), F.col("key").alias("p"))
-    right = sets.select(F.col("sid").alias("y"), F.col("shingles").alias("b"), F.col("key").alias("q"))
-    both = pairs.join(right, "y").join(left, "x")
-    both = both.withColumn("common", F.size(F.array_intersect("a", "b")))
-    linked = F.expr(f"common * 100 >= (size(a) + size(b) - common) * {percent}")
-    return pinned(both.where(linked).select(F.col("p").alias("x"), F.col("q").alias("y")))
+    first, second = (classes.select(F.col("sid").alias(a), F.col("key").alias(b)) for a, b in (("x", "p"), ("y", "q")))
+    pairs = pairs.join(first, "x").join(second, "y").where("p <> q").select("p", "q")
+    pairs = pinned(pairs)
+    wanted = pairs.select("p").union(pairs.select("q")).distinct().toDF("key")
+    wanted = pinned(wanted)
+    if wanted.count() <= BROADCAST_KEYS:  # then the other texts need not be shuffled
+        wanted = F.broadcast(wanted)
+    texts = texts.join(wanted, "key", "left_semi")
+    pairs = pairs.join(texts.toDF("q", "b"), "q").join(texts.toDF("p", "a"), "p").select("p", "q", "a", "b")
+    return pinned(pairs.mapInArrow(_compared(size, percent), "x long, y long"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -236,17 +248,20 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     bins = classes.groupBy(F.floor(F.log("n") * 16)).agg(F.min("n"), F.count(F.lit(1))).collect()  # some hundred
     limit = boundary([(row[1], row[2]) for row in bins], square / total if total else 1.0, percent)
 
-    postings = texts.select("text").mapInArrow(
-        _postings(frequent, limit, size, percent), "key long, sid long, n long, at long"
-    )
-    postings = stored(postings)
-    lists = postings.groupBy("key").agg(
-        F.min(F.struct("at", "sid", "n")).alias("hub"), F.min("sid").alias("low"), F.max("sid").alias("high")
+    postings = stored(
+        texts.select("text").mapInArrow(_postings(frequent, limit, size, percent), "key long, sid long, spot long")
     )
-    lists = lists.where("low <> high").selectExpr("key", "hub.sid AS sid", "hub.n AS n", "hub.at AS at")
-    members = stored(postings.join(lists.select("key"), "key", "left_semi").dropDuplicates(["key", "sid"]))
-    star = members.alias("x").join(lists.alias("y"), "key").where(_possible(percent))
-    star = pinned(star.selectExpr("y.sid AS x", "x.sid AS y").distinct())
+    lists = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+    members = postings.join(lists.where("low <> high").select("key"), "key", "left_semi")
+    members = members.dropDuplicates(["key", "sid"])
+    members = stored(members.selectExpr("key", "sid", "spot >> 32 AS at", f"spot & {(1 << 32) - 1} AS n"))
+    hubs = members.groupBy("key").agg(F.min(F.struct("at", "sid", "n")).alias("hub"))
+    hubs = hubs.selectExpr("key", "hub.sid AS sid", "hub.n AS n", "hub.at AS at")
+    star = members.alias("x").join(hubs.alias("y"), "key").where(_possible(percent))
+    star = star.groupBy(F.col("y.sid").alias("x"), F.col("x.sid").alias("y")).count()
+    # Each set is compared with the hub that it shares most lists with.
+    star = star.groupBy("y").agg(F.max(F.struct("count", "x")).alias("most"))
+    star = pinned(star.selectExpr("most.x AS x", "y"))
     links = _verified(star, classes, texts, size, percent)
     labels = connected(links)
 

@@ -175,6 +175,19 @@ class Model:
         return best, score
 
 
+def identified(texts: pa.Array, known: list[str], machines: list) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+    if known:
+        own, letters = Model(known, machines), has_letter(texts)
+        for first, end, x in vectors(texts):
+            best, score = own.predict(x)
+            inside = letters[first:end]
+            names[first:end][inside] = np.array(known, object)[best][inside]
+            scores[first:end][inside] = score[inside]
+    return names, scores
+
+
 def identify(documents: DataFrame, model: tuple) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row (doc_id, text, held_out)."""
     schema = StructType(
@@ -184,24 +197,28 @@ def identify(documents: DataFrame, model: tuple) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value[0]
-        own = Model(*shared.value)
         for batch in batches:
-            texts = batch.column(2)
-            names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            if known:
-                letters = has_letter(texts)
-                for first, end, x in vectors(texts):
-                    best, score = own.predict(x)
-                    inside = letters[first:end]
-                    names[first:end][inside] = np.array(known, object)[best][inside]
-                    scores[first:end][inside] = score[inside]
+            names, scores = identified(batch.column(2), *shared.value)
             columns = [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return documents.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
 
+def recognised(documents: DataFrame) -> DataFrame:
+    """``documents`` without those whose language can't be told (``und``); fitted as above."""
+    known, machines = fit(documents.select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out")))
+    place = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = identified(batch.column(place), known, shared.value)[0]
+            yield batch.filter(pa.array(names != UNKNOWN))
+
+    shared = documents.sparkSession.sparkContext.broadcast(machines)
+    return documents.mapInArrow(run, documents.schema)
+
+
 def predicted(documents: DataFrame) -> DataFrame:
     """Fits on the documents that aren't held out and predicts all."""
     rows = documents.select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out"))

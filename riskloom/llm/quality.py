@@ -147,6 +147,23 @@ def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return judge(documents, fit(documents, labels))
 
 
+def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``documents`` without those predicted to have label 0."""
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
+    place = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(shared.value) if shared.value else None
+        for batch in batches:
+            kept = np.ones(batch.num_rows, bool)
+            if model:
+                for first, end, x in damped(batch.column(place)):
+                    kept[first:end] = model.score(x) >= 0.5
+            yield batch.filter(pa.array(kept))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     return judged(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -37,6 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.llm.common import table, utf8
 from riskloom.llm.hashing import grams, row_slices, words
@@ -263,16 +264,17 @@ def removed(hashes: np.ndarray, bounds: np.ndarray, window: int, known: list[np.
     return np.cumsum(gone)[:-1] > 0
 
 
-def repeats(documents: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """(key, text, found) of every document; ``found`` has the hashes of its earlier windows."""
+def repeats(documents: DataFrame, window: int = WINDOW, block: int = BLOCK, carry: tuple = ()) -> DataFrame:
+    """(key, text, found, carried columns) of every document; ``found`` has the hashes of its earlier windows."""
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it starts")
     spark = documents.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key")
-    rows = documents.select(key, F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = documents.select(key, text)
     # Both joins read the same exchange of the texts.
-    by_key = rows.repartition(buckets, "key")
+    by_key = documents.select(key, text, *carry).repartition(buckets, "key")
     probes = rows.mapInArrow(_probe(buckets, window, block), _PACKED)
     told = lambda f, kind, rows: (
         rows.groupBy("bucket")
@@ -281,10 +283,10 @@ def repeats(documents: DataFrame, window: int = WINDOW, block: int = BLOCK) -> D
         .applyInPandas(_owned(kind), "key long, found binary")
     )
     anchors = told(_anchors, np.uint32, probes)
-    near = by_key.join(anchors, "key").select("key", "text", "found")
+    near = by_key.select("key", "text").join(anchors, "key").select("key", "text", "found")
     windows = near.mapInArrow(_extend(buckets, window, block), _PACKED)
     earlier = told(_earlier, np.uint64, windows)
-    return by_key.join(earlier, "key", "left").select("key", "text", "found")
+    return by_key.join(earlier, "key", "left").select("key", "text", "found", *carry)
 
 
 def deduplicated(documents: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
@@ -315,6 +317,40 @@ def deduplicated(documents: DataFrame, window: int = WINDOW, digest: bool = Fals
     return repeats(documents, window).mapInArrow(run, schema)
 
 
+def rewritten(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``documents`` with repeats cut out of ``text``, and ``n_chars`` to match.
+
+    Texts that lose nothing stay as they are; documents that lose every word go.
+    """
+    carry = tuple(name for name in documents.columns if name not in ("doc_id", "text", "n_chars"))
+    names = ["doc_id", "text", "n_chars", *carry]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = _ids(batch.column(0))
+            raw, offsets = utf8(batch.column(1))
+            found, texts = batch.column(2), batch.column(1).to_pylist()
+            for first, end, part, own in row_slices(raw, offsets):
+                hashes, _, _, bounds = words(part, own)
+                known = [np.frombuffer(found[i].as_py() or b"", np.uint64) for i in range(first, end)]
+                gone = removed(hashes, bounds, window, known)
+                for row in range(end - first):
+                    cut = gone[bounds[row] : bounds[row + 1]]
+                    if cut.any():
+                        pieces = part[own[row] : own[row + 1]].tobytes().split()
+                        texts[first + row] = b" ".join(compress(pieces, (~cut).tolist())).decode() or None
+            kept = pa.array([text is not None for text in texts])
+            sizes = pa.array([None if text is None else len(text) for text in texts], pa.int64())
+            columns = [pa.array(ids, mask=ids == _FIRST), pa.array(texts, pa.string()), sizes]
+            columns += [batch.column(3 + i) for i in range(len(carry))]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(kept)
+
+    by_name = {field.name: field for field in documents.schema.fields}
+    ddl = StructType.fromDDL("doc_id long, text string, n_chars long").fields
+    schema = StructType([*ddl, *[by_name[name] for name in carry]])
+    return repeats(documents, window, carry=carry).mapInArrow(run, schema).select(*documents.columns)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the words that stood earlier in runs of 20."""
     return deduplicated(table(spark, folder, "documents"), digest=True)
