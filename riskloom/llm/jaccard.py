@@ -14,7 +14,8 @@ No list is expanded into all its pairs. Each list has a hub, the member with the
 shingles before it, so the least edited copy, and each set is first compared with the hub that
 it shares most lists with, which links a group of near copies. Then only lists that still hold several components are joined again:
 members outside the most frequent component with members of other components. So all
-candidate pairs that could change a component are compared, by exact intersections.
+candidate pairs that could change a component are compared. Pairs whose sets provably differ
+too much, by parities of BITS hashed bits, go first; the rest is intersected exactly.
 
 Frequent shingles (at least ``OFTEN`` documents among FLUSH shingles of one batch; the FREQUENT
 most frequent ones) come last in the order. They are the only statistic that is broadcast,
@@ -41,6 +42,7 @@ from riskloom.session import pinned
 
 SHINGLE, PERCENT = 3, 90
 FREQUENT = 1 << 16
+BITS = 1024
 OFTEN = 8
 FLUSH = 1 << 20
 BROADCAST_KEYS = 500_000
@@ -71,6 +73,24 @@ def set_ids(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return mix(sums[edges[1:]] - sums[edges[:-1]] + sizes * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def parities(shingles: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """BITS parities of each set: in how many the hash of a shingle falls, modulo 2.
+
+    Two sets differ in at least as many shingles as their parities do in bits.
+    """
+    place = (mix(shingles) >> np.uint64(64 - int(BITS).bit_length() + 1)).astype(np.int64)
+    row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    parts = []
+    for start in range(0, len(edges) - 1, 512):
+        end = min(start + 512, len(edges) - 1)
+        a, b = edges[start], edges[end]
+        odd = np.bincount((row[a:b] - start) * BITS + place[a:b], minlength=(end - start) * BITS) & 1
+        parts.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    places = np.arange(len(edges), dtype=np.int32) * (BITS // 64)
+    return pa.ListArray.from_arrays(pa.array(places), pa.array(flat))
+
+
 def _long(values) -> pa.Array:
     return pa.array(np.asarray(values, np.int64))
 
@@ -79,6 +99,8 @@ def _described(size: int):
     """kind 0: (id, set, size); 1: (shingle, documents); 2: (sum of squares, sum) of lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = lambda kind: pa.nulls(len(kind), pa.list_(pa.int64()))
+
         def counted(held):
             found, count = np.unique(np.concatenate(held), return_counts=True)
             often = count >= OFTEN
@@ -92,18 +114,18 @@ def _described(size: int):
             for first, shingles, edges in shingle_sets(batch.column(1), size):
                 n = np.diff(edges)
                 own = ids[first : first + len(n)]
-                names = ["kind", "a", "b", "c"]
-                columns = [_long(np.zeros(len(n))), _long(own), _long(set_ids(shingles, edges)), _long(n)]
+                names = ["kind", "a", "b", "c", "bits"]
+                columns = [_long(np.zeros(len(n))), _long(own), _long(set_ids(shingles, edges)), _long(n), parities(shingles, edges)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 held.append(shingles)
                 total += len(shingles)
                 if total >= FLUSH:
                     a, b, kind = counted(held)
-                    yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b)], names=names)
+                    yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b), nothing(kind)], names=names)
                     held, total = [], 0
             if held:
                 a, b, kind = counted(held)
-                yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b)], names=names)
+                yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b), nothing(kind)], names=names)
 
     return run
 
@@ -198,8 +220,15 @@ def _possible(percent: int) -> str:
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(x, y) of those pairs of sets that link, as representatives."""
-    first, second = (classes.select(F.col("sid").alias(a), F.col("key").alias(b)) for a, b in (("x", "p"), ("y", "q")))
-    pairs = pairs.join(first, "x").join(second, "y").where("p <> q").select("p", "q")
+    known = F.struct("key", "n", "bits")
+    first, second = (classes.select(F.col("sid").alias(a), known.alias(b)) for a, b in (("x", "p"), ("y", "q")))
+    pairs = pairs.join(first, "x").join(second, "y")
+    # At least so many shingles are in one set only; a link allows so many at most.
+    apart = F.aggregate(
+        F.zip_with("p.bits", "q.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x
+    )
+    pairs = pairs.where(apart * (100 + percent) <= (F.col("p.n") + F.col("q.n")) * (100 - percent))
+    pairs = pairs.selectExpr("p.key AS p", "q.key AS q").where("p <> q").distinct()
     pairs = pinned(pairs)
     wanted = pairs.select("p").union(pairs.select("q")).distinct().toDF("key")
     wanted = pinned(wanted)
@@ -234,9 +263,10 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     spark = documents.sparkSession
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key")
     texts = documents.select(key, "text")
-    rows = stored(texts.mapInArrow(_described(size), "kind long, a long, b long, c long"))
+    rows = stored(texts.mapInArrow(_described(size), "kind long, a long, b long, c long, bits array<long>"))
     sets = rows.where("kind = 0").selectExpr("a AS key", "b AS sid", "c AS n")
-    classes = sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.first("n").alias("n"))
+    described = rows.where("kind = 0").selectExpr("a AS key", "b AS sid", "c AS n", "bits")
+    classes = described.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     classes = pinned(classes)
     often = rows.where("kind = 1").groupBy("a").agg(F.sum("b").alias("b"))
     often = often.orderBy(F.desc("b"), "a").limit(FREQUENT).collect()  # FREQUENT rows
