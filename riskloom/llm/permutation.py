@@ -60,8 +60,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     numbered = numbered_queries(queries)
     count, asked = kept.count(), numbered.count()
     blocks, groups = blocks_for(count), max(1, -(-asked // QUERY_ROWS))
-    pivots = np.array([row.vector for row in sampled], np.float64).reshape(len(sampled), -1)
-    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True) if len(pivots) else 1
+    pivots = np.array([row.vector for row in sampled] or np.zeros((0, 1)), np.float64)
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     shared = rows.sparkSession.sparkContext.broadcast(pivots)  # PIVOTS vectors
 
     each_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
