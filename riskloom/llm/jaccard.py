@@ -15,7 +15,7 @@ shingles before it, so the least edited copy, and each set is first compared wit
 it shares most lists with, which links a group of near copies. Then only lists that still hold several components are joined again:
 members outside the most frequent component with members of other components. So all
 candidate pairs that could change a component are compared. Pairs whose sets provably differ
-too much, by parities of BITS hashed bits, go first; the rest is intersected exactly.
+too much, by parities of hashed bits, go first; the rest is intersected exactly.
 
 Frequent shingles (at least ``OFTEN`` documents among FLUSH shingles of one batch; the FREQUENT
 most frequent ones) come last in the order. They are the only statistic that is broadcast,
@@ -42,7 +42,7 @@ from riskloom.session import pinned
 
 SHINGLE, PERCENT = 3, 90
 FREQUENT = 1 << 16
-BITS = 1024
+BITS = ((1500, 1024), (12_000, 8192), (1 << 62, 65_536))  # below this size, so many parities
 OFTEN = 8
 FLUSH = 1 << 20
 BROADCAST_KEYS = 500_000
@@ -74,20 +74,18 @@ def set_ids(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def parities(shingles: np.ndarray, edges: np.ndarray) -> pa.Array:
-    """BITS parities of each set: in how many the hash of a shingle falls, modulo 2.
+    """Parities of each set: in how many a hash of its shingles falls, modulo 2.
 
-    Two sets differ in at least as many shingles as their parities do in bits.
+    Two sets differ in at least as many shingles as their parities do in bits. Larger sets
+    have more bits (BITS), or the bits would even out.
     """
-    place = (mix(shingles) >> np.uint64(64 - int(BITS).bit_length() + 1)).astype(np.int64)
-    row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    parts = []
-    for start in range(0, len(edges) - 1, 512):
-        end = min(start + 512, len(edges) - 1)
-        a, b = edges[start], edges[end]
-        odd = np.bincount((row[a:b] - start) * BITS + place[a:b], minlength=(end - start) * BITS) & 1
-        parts.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    places = np.arange(len(edges), dtype=np.int32) * (BITS // 64)
+    hashed, found = mix(shingles), []
+    for a, b in zip(edges[:-1], edges[1:]):
+        bits = next(bits for size, bits in BITS if b - a < size)
+        odd = np.bincount((hashed[a:b] % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        found.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+    places = np.concatenate([[0], np.cumsum([len(part) for part in found])]).astype(np.int32)
+    flat = np.concatenate(found) if found else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(places), pa.array(flat))
 
 
@@ -227,7 +225,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     apart = F.aggregate(
         F.zip_with("p.bits", "q.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x
     )
-    pairs = pairs.where(apart * (100 + percent) <= (F.col("p.n") + F.col("q.n")) * (100 - percent))
+    near = apart * (100 + percent) <= (F.col("p.n") + F.col("q.n")) * (100 - percent)
+    pairs = pairs.where((F.size("p.bits") != F.size("q.bits")) | near)
     pairs = pairs.selectExpr("p.key AS p", "q.key AS q").where("p <> q").distinct()
     pairs = pinned(pairs)
     wanted = pairs.select("p").union(pairs.select("q")).distinct().toDF("key")
