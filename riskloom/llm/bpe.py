@@ -124,7 +124,8 @@ def unsigned(ids: bytes) -> list[int]:
 def encode(df: DataFrame, text: str, vocabulary: str, offsets: bool = False) -> DataFrame:
     """``df`` with ``ids`` and, if asked for, ``offsets``: (first, end) character per token."""
     ids, spans = free_name(df, "ids"), free_name(df, "offsets")
-    place = df.columns.index(text)
+    names = df.columns
+    place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
@@ -135,7 +136,7 @@ def encode(df: DataFrame, text: str, vocabulary: str, offsets: bool = False) ->
                 pairs = [[{"first": a, "end": b} for a, b in own.offsets(x)] for x in found]
                 pair = pa.struct([("first", pa.int32()), ("end", pa.int32())])
                 columns.append(pa.array(pairs, pa.list_(pair)))
-            yield pa.RecordBatch.from_arrays(columns, names=[*df.columns, ids, *[spans] * offsets])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, ids, *[spans] * offsets])
 
     fields = [StructField(ids, ArrayType(IntegerType()))]
     if offsets:
@@ -146,7 +147,8 @@ def encode(df: DataFrame, text: str, vocabulary: str, offsets: bool = False) ->
 
 def decode(df: DataFrame, ids: str, vocabulary: str) -> DataFrame:
     """``df`` with ``decoded``: the bytes that the ids stand for (null: none)."""
-    out, place = free_name(df, "decoded"), df.columns.index(ids)
+    names, out = df.columns, free_name(df, "decoded")
+    place = names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
@@ -154,7 +156,7 @@ def decode(df: DataFrame, ids: str, vocabulary: str) -> DataFrame:
             rows = batch.column(place).to_pylist()
             found = [own.decode(np.array(row or [], "<u4").tobytes()) for row in rows]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary())], names=[*df.columns, out]
+                [*batch.columns, pa.array(found, pa.binary())], names=[*names, out]
             )
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, BinaryType())]))
