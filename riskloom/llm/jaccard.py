@@ -173,7 +173,7 @@ def _postings(frequent, limit: int, size: int, percent: int):
                     parts = []
                     if n[row] < limit:
                         i, j = np.triu_indices(len(own), 1)
-                        parts.append((mix(own[i] * np.uint64(3) + mix(own[j])), i))
+                        parts.append((mix(own[i] * np.uint64(3) + mix(own[j])), j - 1))
                     if n[row] * 100 >= limit * percent:
                         parts.append((own[:prefix], np.arange(min(prefix, len(own)))))
                     for key, at in parts:
@@ -208,11 +208,14 @@ def _compared(size: int, percent: int):
 
 
 def _possible(percent: int) -> str:
-    """Sizes and places of the shared shingle allow a link of x and y."""
+    """Sizes and places allow a link of x and y, if this is the first list that they share.
+
+    Before the first shared shingle (of a subset: between its two as well) they have nothing in
+    common, so they share ``n - at`` shingles at most. A pair that links passes in its first list.
+    """
     return (
         f"x.sid <> y.sid AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent} AND "
-        "(least(x.at, y.at) + 1 + least(x.n - x.at, y.n - y.at) - 1)"
-        f" * {100 + percent} >= {percent} * (x.n + y.n)"
+        f"least(x.n - x.at, y.n - y.at) * {100 + percent} >= {percent} * (x.n + y.n)"
     )
 
 
@@ -280,10 +283,13 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     postings = stored(
         texts.select("text").mapInArrow(_postings(frequent, limit, size, percent), "key long, sid long, spot long")
     )
-    lists = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    members = postings.join(lists.where("low <> high").select("key"), "key", "left_semi")
-    members = members.dropDuplicates(["key", "sid"])
-    members = stored(members.selectExpr("key", "sid", "spot >> 32 AS at", f"spot & {(1 << 32) - 1} AS n"))
+    places = ("spot >> 32 AS at", f"spot & {(1 << 32) - 1} AS n")
+    postings = postings.selectExpr("key", "sid", *places)
+    # The smaller set of a pair that links has its first shared shingle among its first ones.
+    early = f"(n - at) * {100 + percent} >= {2 * percent} * n"
+    lists = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.max(F.expr(early)).alias("early"))
+    members = postings.join(lists.where("low <> high AND early").select("key"), "key", "left_semi")
+    members = stored(members.dropDuplicates(["key", "sid"]))
     hubs = members.groupBy("key").agg(F.min(F.struct("at", "sid", "n")).alias("hub"))
     hubs = hubs.selectExpr("key", "hub.sid AS sid", "hub.n AS n", "hub.at AS at")
     star = members.alias("x").join(hubs.alias("y"), "key").where(_possible(percent))
