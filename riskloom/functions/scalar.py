@@ -97,7 +97,7 @@ def money(df: DataFrame, name: str) -> Column:
         return parsed_money(value)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         value = F.when(~F.isnan(value), value)
-    return value.cast(MONEY)
+    return value.try_cast(MONEY)
 
 
 def instant(df: DataFrame, name: str) -> Column:

@@ -25,10 +25,10 @@ def add_missing_columns(df: DataFrame) -> DataFrame:
 
 
 def _typed(df: DataFrame, name: str, kind: T.DataType, parse):
-    """Text is parsed leniently, a value that already has a type is cast."""
+    """Text is parsed leniently, a value that already has a type is cast; null if it doesn't fit."""
     if isinstance(df.schema[name].dataType, T.StringType):
         return parse(F.col(name))
-    return F.col(name).cast(kind)
+    return F.col(name).try_cast(kind)
 
 
 def normalise(df: DataFrame) -> DataFrame:

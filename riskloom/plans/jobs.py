@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import forest
 from riskloom.operators.features import compute, latest_per_user
+from riskloom.operators.merge import first_per_key
 from riskloom.operators.metrics import CONTAMINATION
+from riskloom.operators.normalise import loadable
 from riskloom.plans import evaluate as evaluation
 from riskloom.plans import monitor, profile
 from riskloom.plans.scoring import choose_threshold, scored_rows
@@ -78,19 +80,24 @@ def train(
         params={"trees": forest.TREES, "sample": model.sample},
         span=(facts["first"], facts["last"]),
     )
-    scored = scored_rows(raw, choice.value, version, now).join(
-        raw.select("transaction_id", "label"), "transaction_id", "left"
-    )
+    scored = scored_rows(raw, choice.value, version, now, carry=["label"])
     scored.write.mode("overwrite").parquet(f"{layers.reports}/training_scores/of={version}")
     stored = spark.read.parquet(f"{layers.reports}/training_scores/of={version}")
     return Trained(version, choice.value, choice.rule, stored)
 
 
+def processed_rows(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The processed layer, live and archived, with one row per id: files are checked one by
+    one, so an id may come from several; its earliest event is kept, as in the raw table."""
+    rows = processed_layer(spark, layers.processed, f"{layers.archive}/processed")
+    return first_per_key(loadable(rows), "transaction_id", ["event_time", "amount", "user_id"])
+
+
 def local_batch(spark: SparkSession, base: str, **options) -> Trained:
     """B1: check and normalise new files, then train on the processed layer and score it."""
     layers = Layers(base)
     ingest_available(spark, layers, load_raw=False)
-    return train(spark, processed_layer(spark, layers.processed), layers, **options)
+    return train(spark, processed_rows(spark, layers), layers, **options)
 
 
 def daily(spark: SparkSession, base: str, **options) -> Trained:
@@ -159,7 +166,7 @@ def evaluate(
     """Held-out evaluation of all models on the processed layer; writes the report."""
     prepare(spark)
     layers = Layers(base)
-    rows = processed_layer(spark, layers.processed)
+    rows = processed_rows(spark, layers)
     result = evaluation.evaluate(rows, ground_truth(spark, truth_path), which)
     result.report.write.mode("overwrite").parquet(f"{layers.reports}/evaluation")
     evaluation.as_json(result).write.mode("overwrite").json(f"{layers.reports}/evaluation_json")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -43,14 +44,14 @@ def choose_threshold(
 
 
 def scored_rows(
-    raw_scores: DataFrame, threshold: float, version: str, scored_at: datetime
+    raw_scores: DataFrame, threshold: float, version: str, scored_at: datetime, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """The score columns plus ``raw_score``. The flag looks at the raw score: the scaled one
-    depends on the batch it was scaled in."""
+    """The score columns plus ``raw_score`` and ``carry``. The flag looks at the raw score: the
+    scaled one depends on the batch it was scaled in."""
     return (
         min_max_scaled(raw_scores, "raw_score", "score")
         .withColumn("flagged", F.col("raw_score") >= F.lit(threshold))
         .withColumn("model_version", F.lit(version))
         .withColumn("scored_at", F.lit(scored_at).cast("timestamp_ntz"))
-        .select(*SCORE_COLUMNS, "raw_score")
+        .select(*SCORE_COLUMNS, "raw_score", *carry)
     )

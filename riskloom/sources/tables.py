@@ -66,6 +66,9 @@ class KeyedTable:
         holding = current.join(staged.select(self.key), self.key, "left_semi")
         parts = staged.select(self.partition).unionByName(holding.select(self.partition))
         touched = {row[0] for row in parts.distinct().collect()}
+        if not touched:  # no source row
+            files.delete(self.spark, folder)
+            return {"inserted": 0, "updated": 0, "table_rows": current.count()}
 
         within = current.where(F.col(self.partition).isin(list(touched)))
         result = merged(within, staged, self.key, self.insert_only)

@@ -8,11 +8,12 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.merge import first_per_key
-from riskloom.operators.normalise import loadable, normalise
+from riskloom.operators.normalise import dropped_rows, loadable, normalise
 from riskloom.operators.validate import FILE, annotate, rule_counts
-from riskloom.schema import TRANSACTION_COLUMNS
+from riskloom.schema import MONEY, TRANSACTION_COLUMNS
 from riskloom.session import prepare
 from riskloom.sources.landing import CORRUPT, read_landing
 from riskloom.sources.tables import KeyedTable, raw_table
@@ -21,6 +22,7 @@ from riskloom.sources.tables import KeyedTable, raw_table
 FILES_PER_BATCH = 500
 
 UNREADABLE = "unreadable_row"
+OUT_OF_RANGE = "amount_out_of_range"
 
 # The columns of Spark's binary file source.
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -84,14 +86,24 @@ def check_files(spark: SparkSession, paths: list[str], out: str) -> DataFrame:
     both sides, so the batch is checked once; there is no bad folder if nothing is bad.
     """
     annotated = annotate(read_landing(spark, paths))
+    too_large = F.col("amount").isNotNull() & F.col("amount").try_cast(MONEY).isNull()
     reasons = F.concat_ws(
-        ";", F.nullif(F.col("failure_reason"), F.lit("")), F.when(F.col(CORRUPT).isNotNull(), UNREADABLE)
+        ";",
+        F.nullif(F.col("failure_reason"), F.lit("")),
+        F.when(too_large, OUT_OF_RANGE),
+        F.when(F.col(CORRUPT).isNotNull(), UNREADABLE),
     )
     rows = annotated.withColumn("failure_reason", reasons).withColumn(
         "is_bad", F.col("failure_reason") != ""
     )
-    rows.drop("row_pos").write.mode("overwrite").partitionBy("is_bad").parquet(out)
-    return spark.read.parquet(out).withColumn("is_bad", F.col("is_bad").cast("boolean"))
+    rows = rows.drop("row_pos")
+    rows.write.mode("overwrite").partitionBy("is_bad").parquet(out)
+    return written(spark, out, rows.schema)
+
+
+def written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder that was just written. A partitioned write of no rows leaves no file to infer from."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def valid(checked: DataFrame) -> DataFrame:
@@ -104,17 +116,18 @@ def quarantined(checked: DataFrame) -> DataFrame:
 
 def batch_processor(
     layers: Layers, table: KeyedTable | None, now: Callable[[], datetime] = utc_now
-) -> Callable[[DataFrame, int], None]:
+) -> Callable[[DataFrame, int], int]:
     """Work of one micro-batch. Every output is named by the batch, so a retry overwrites it.
 
-    ``table`` is the raw table to load into, or None to stop at the processed layer.
+    ``table`` is the raw table to load into, or None to stop at the processed layer. The work
+    returns the number of files. A batch without a row, or without a valid one, is ordinary.
     """
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def process(batch: DataFrame, batch_id: int) -> int:
         spark = prepare(batch.sparkSession)
         paths = [row["path"] for row in batch.select("path").collect()]  # FILES_PER_BATCH
         if not paths:
-            return
+            return 0
         name = f"batch_id={batch_id}"
         checked = check_files(spark, paths, f"{layers.checked}/{name}")
         rule_counts(checked).write.mode("overwrite").parquet(f"{layers.reports}/quality/{name}")
@@ -122,7 +135,8 @@ def batch_processor(
         processed = f"{layers.processed}/{name}"
         rows.write.mode("overwrite").partitionBy("event_date").parquet(processed)
         if table is not None:
-            load(table, spark.read.parquet(processed), f"ingest-{batch_id}", now())
+            load(table, written(spark, processed, rows.schema), f"ingest-{batch_id}", now())
+        return len(paths)
 
     return process
 
@@ -131,11 +145,13 @@ def load(table: KeyedTable, rows: DataFrame, run_id: str, loaded_at: datetime) -
     """Merge processed rows into the raw table.
 
     Files are checked one by one, so the same id may come from two files of a batch; its
-    earliest event is kept (equal events: by amount).
+    earliest event is kept (equal events: by amount). ``dropped`` counts rows without a time
+    or an amount, which the table can't hold.
     """
     unique = first_per_key(loadable(rows), "transaction_id", ["event_time", "amount", "user_id"])
     stamped = unique.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
-    return table.merge(stamped, run_id)
+    dropped = dropped_rows(rows).first()["dropped_rows"]
+    return {**table.merge(stamped, run_id), "dropped": dropped}
 
 
 def ingest_available(
@@ -164,25 +180,28 @@ def ingest_available(
             "sourceArchiveDir", f"{layers.archive}/landing"
         )
     table = raw_table(spark, layers.raw) if load_raw else None
+    process = batch_processor(layers, table, now)
+    taken: list[int] = []  # by batch; the query's own progress list is cut to its latest entries
     query = (
         reader.load(layers.landing)
         .select("path")
-        .writeStream.foreachBatch(batch_processor(layers, table, now))
+        .writeStream.foreachBatch(lambda batch, number: taken.append(process(batch, number)))
         .option("checkpointLocation", f"{layers.progress}/ingest")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return sum(taken)
 
 
 def affected_rows(raw: DataFrame, batch: DataFrame) -> DataFrame:
     """History of every user with a row in ``batch``.
 
     A late row changes the features of the user's later rows, so these users are computed
-    and scored again.
+    and scored again. Rows without a user are one group, as they are for the features.
     """
-    return raw.join(batch.select("user_id").distinct(), "user_id", "left_semi")
+    users = batch.select(F.col("user_id").alias("_user")).distinct()
+    return raw.join(users, F.col("user_id").eqNullSafe(F.col("_user")), "left_semi")
 
 
 def late_rows(raw: DataFrame, days: int = 1) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from riskloom.schema import TRANSACTION_COLUMNS
 from riskloom.sources.landing import ground_truth, processed_layer, read_landing
 from riskloom.sources.tables import raw_table
-from riskloom.streaming.ingest import Layers, ingest_available
+from riskloom.streaming.ingest import Layers, affected_rows, ingest_available
 from tests.test_validation import GOOD
 
 
@@ -48,7 +48,7 @@ def test_only_new_files_are_processed(spark, tmp_path):
     write(layers.landing, "day2.csv", [good("t3"), good("t1", amount="9")], upper)
     assert ingest_available(spark, layers) == 1
     rows = {r["transaction_id"]: str(r["amount"]) for r in raw_table(spark, layers.raw).read().collect()}
-    assert rows == {"t1": "9.00", "t3": "125.50"}
+    assert rows == {"t1": "9.00", "t3": "31.05"}
     assert processed_layer(spark, layers.processed).count() == 3
 
 
@@ -66,6 +66,26 @@ def test_no_bad_folder_without_bad_rows_and_broken_rows_are_kept(spark, tmp_path
     assert "too,many" in bad[0]["_corrupt"]
 
 
+@pytest.mark.parametrize("first", [[], [good("t9", amount="-1")], [good("t9", amount="99999999999")]])
+def test_a_batch_without_a_valid_row_does_not_stop_later_ones(spark, tmp_path, first):
+    layers = Layers(str(tmp_path))
+    write(layers.landing, "a.csv", first)
+    assert ingest_available(spark, layers) == 1
+    assert raw_table(spark, layers.raw).read().count() == 0
+    write(layers.landing, "b.csv", [good("t1"), good("t2", amount="99999999999")])
+    assert ingest_available(spark, layers) == 1
+    assert [r["transaction_id"] for r in raw_table(spark, layers.raw).read().collect()] == ["t1"]
+    bad = spark.read.parquet(f"{layers.checked}/batch_id=1").where("cast(is_bad as boolean)").collect()
+    assert [r["failure_reason"] for r in bad] == ["amount_out_of_range"]
+
+
+def test_rows_without_a_user_are_affected_too(spark):
+    schema = "transaction_id string, user_id string"
+    raw = spark.createDataFrame([("t1", "a"), ("t2", None), ("t3", "b"), ("t4", None)], schema)
+    found = affected_rows(raw, raw.where("transaction_id = 't2'")).collect()
+    assert sorted(r["transaction_id"] for r in found) == ["t2", "t4"]
+
+
 def test_ground_truth_is_optional(spark, tmp_path):
     assert ground_truth(spark, f"{tmp_path}/none.csv") is None
     Path(tmp_path, "truth.csv").write_text("transaction_id,fraud_type\nt1,subtle\n")
@@ -86,6 +106,6 @@ def test_a_file_that_is_no_table_does_not_stop_the_others(spark, tmp_path):
     Path(layers.landing, "b.csv").write_bytes(b"\x01\xff.x,`y,,a,a\n\x02\x03\n")
     assert ingest_available(spark, layers) == 2
     rows = {r["transaction_id"]: r["merchant_id"] for r in raw_table(spark, layers.raw).read().collect()}
-    assert rows == {"t1": "Amazon", "t2": 'a "b", c'}
+    assert rows == {"t1": "Corner Bakery", "t2": 'a "b", c'}
     bad = spark.read.parquet(layers.checked).where("cast(is_bad as boolean)").collect()
     assert len(bad) == 2 and all("unreadable_row" in row["failure_reason"] for row in bad)
