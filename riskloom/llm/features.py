@@ -11,6 +11,7 @@ from riskloom.llm.common import slices, utf8
 
 WIDTH = 4096
 _ROWS = 512
+_SLICE, _PART = 1 << 18, 1 << 20  # bytes of several texts, and of one long text, at a time
 
 FOLDED = np.arange(256, dtype=np.uint8)  # letters in lower case, other ASCII as a space
 FOLDED[:128] = 32
@@ -21,13 +22,13 @@ FOLDED[65:91] = np.arange(97, 123)
 def counts(texts: pa.Array, fold: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first row, end row, trigram counts of these rows): every byte counts, however long."""
     raw, offsets = utf8(texts)
-    for first, end in slices(offsets, 1 << 20):
+    for first, end in slices(offsets, _SLICE):
         for start in range(first, end, _ROWS):
             stop = min(start + _ROWS, end)
             own = offsets[start : stop + 1] - offsets[start]
             found = np.zeros((stop - start) * WIDTH, np.float32)
-            for a in range(0, max(int(own[-1]), 1), 1 << 22):  # a long text in parts
-                b = min(int(own[-1]), a + (1 << 22) + 2)
+            for a in range(0, max(int(own[-1]), 1), _PART):  # a long text in parts
+                b = min(int(own[-1]), a + _PART + 2)
                 part = raw[offsets[start] + a : offsets[start] + b]
                 if len(part) < 3:
                     continue

@@ -73,10 +73,9 @@ def has_letter(texts: pa.Array) -> np.ndarray:
 
 
 def svm(x: np.ndarray, y: np.ndarray, penalty: float = 4.0, passes: int = 20) -> np.ndarray:
-    """Weights of a linear machine with squared hinge loss; the last one is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    """Weights of a linear machine with squared hinge loss; the last column of ``x`` is 1, for the bias."""
     w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x * x).sum(1) + 0.5 / penalty
+    diagonal = np.einsum("ij,ij->i", x, x, dtype=np.float64) + 0.5 / penalty
     random = np.random.default_rng(7)
     for _ in range(passes):
         for i in random.permutation(len(x)):
@@ -131,7 +130,9 @@ def fit(documents: DataFrame) -> tuple[list[str], list[tuple[str, str, np.ndarra
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["lang", "x"])
-        x = np.stack([np.frombuffer(row, np.float16) for row in rows.x]).astype(np.float32)
+        x = np.ones((len(rows), WIDTH + 1), np.float32)
+        for at, row in enumerate(rows.x):
+            x[at, :-1] = np.frombuffer(row, np.float16)
         w = svm(x, rows.side.to_numpy(np.float64))
         return pd.DataFrame({"problem": rows.problem.iloc[:1], "w": [w.astype(np.float64).tobytes()]})
 
