@@ -32,6 +32,7 @@ from pyspark.sql.types import StructType
 
 from riskloom.llm.common import fold, table, utf8
 from riskloom.llm.features import FOLDED, WIDTH, counts, unit
+from riskloom.llm.hashing import row_slices
 from riskloom.session import pinned
 
 PER_LANGUAGE = 500
@@ -65,8 +66,10 @@ def vectors(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 def has_letter(texts: pa.Array) -> np.ndarray:
     raw, offsets = utf8(texts)
-    seen = np.concatenate([[0], np.cumsum(_LETTER[raw])])
-    found = seen[offsets[1:]] > seen[offsets[:-1]]
+    found = np.zeros(len(texts), bool)
+    for first, end, part, own in row_slices(raw, offsets):
+        seen = np.concatenate([[0], np.cumsum(_LETTER[part], dtype=np.int32)])
+        found[first:end] = seen[own[1:]] > seen[own[:-1]]
     for row in np.flatnonzero(~found & (np.diff(offsets) > 0)):
         found[row] = any(c.isalpha() for c in raw[offsets[row] : offsets[row + 1]].tobytes().decode())
     return found
