@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from riskloom.session import checkpoint_folder
 
 
+ARROW_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -32,10 +35,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a whole string column and the n + 1 offsets of its rows; null is empty."""
-    column = column.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)
-    offsets = offsets[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
+    if column.null_count:
+        column = column.fill_null("")
+    _, ends, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(ends, kind) if ends is not None else np.zeros(0, kind)
+    offsets = offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     if not len(offsets):
         return raw[:0], np.zeros(1, np.int64)
@@ -52,6 +57,16 @@ def slices(offsets: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]
         start = end
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of about ARROW_BYTES for the session, so that long texts don't fill a worker.
+
+    By default a batch may hold 64 MB. A session that was given another bound keeps its own.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def stored(df: DataFrame, parts: int | None = None) -> DataFrame:
     """``df`` written once as Parquet to the shared checkpoint folder and read back.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from riskloom.llm.common import slices, utf8
 
 WIDTH = 4096
-_ROWS = 512
+_ROWS = 128
 _SLICE, _PART = 1 << 18, 1 << 20  # bytes of several texts, and of one long text, at a time
 
 FOLDED = np.arange(256, dtype=np.uint8)  # letters in lower case, other ASCII as a space

@@ -66,7 +66,7 @@ def _segments(raw: np.ndarray, gap: np.ndarray, size: int) -> Iterator[tuple[int
 
 
 def words(
-    raw: np.ndarray, offsets: np.ndarray, lower: bool = False, segment: int = 1 << 20
+    raw: np.ndarray, offsets: np.ndarray, lower: bool = False, segment: int = 1 << 18
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end byte of each word, and the n + 1 word offsets of the rows."""
     hashes, firsts, lasts = [], [], []
@@ -99,7 +99,7 @@ def grams(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray
     return run_hashes(hashes, starts, starts + size), edges
 
 
-def row_slices(raw: np.ndarray, offsets: np.ndarray, size: int = 1 << 20):
+def row_slices(raw: np.ndarray, offsets: np.ndarray, size: int = 1 << 18):
     """Runs of rows as (first row, last row, their bytes, their offsets)."""
     for start, end in slices(offsets, size):
         yield start, end, raw[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]

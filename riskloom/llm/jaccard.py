@@ -17,7 +17,7 @@ members outside the most frequent component with members of other components. So
 candidate pairs that could change a component are compared. Pairs whose sets provably differ
 too much, by parities of hashed bits, go first; the rest is intersected exactly.
 
-Frequent shingles (at least ``OFTEN`` documents among FLUSH shingles of one batch; the FREQUENT
+Frequent shingles (at least ``OFTEN`` documents among FLUSH shingles of one task; the FREQUENT
 most frequent ones) come last in the order. They are the only statistic that is broadcast,
 which changes cost, never results. Intermediate tables go to the shared checkpoint folder.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored, table, utf8
+from riskloom.llm.common import small_batches, stored, table, utf8
 from riskloom.llm.hashing import mix, row_slices, run_hashes, words
 from riskloom.session import pinned
 
@@ -97,6 +97,7 @@ def _described(size: int):
     """kind 0: (id, set, size); 1: (shingle, documents); 2: (sum of squares, sum) of lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["kind", "a", "b", "c", "bits"]
         nothing = lambda kind: pa.nulls(len(kind), pa.list_(pa.int64()))
 
         def counted(held):
@@ -106,13 +107,12 @@ def _described(size: int):
             a = np.append(found[often].view(np.int64), (rare * rare).sum())
             return a, np.append(count[often], rare.sum()), np.append(np.ones(often.sum(), int), 2)
 
+        held, total = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            held, total = [], 0
             for first, shingles, edges in shingle_sets(batch.column(1), size):
                 n = np.diff(edges)
                 own = ids[first : first + len(n)]
-                names = ["kind", "a", "b", "c", "bits"]
                 columns = [_long(np.zeros(len(n))), _long(own), _long(set_ids(shingles, edges)), _long(n), parities(shingles, edges)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 held.append(shingles)
@@ -121,9 +121,9 @@ def _described(size: int):
                     a, b, kind = counted(held)
                     yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b), nothing(kind)], names=names)
                     held, total = [], 0
-            if held:
-                a, b, kind = counted(held)
-                yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b), nothing(kind)], names=names)
+        if held:
+            a, b, kind = counted(held)
+            yield pa.RecordBatch.from_arrays([_long(kind), _long(a), _long(b), _long(b), nothing(kind)], names=names)
 
     return run
 
@@ -263,6 +263,7 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     if not 80 <= percent <= 100:
         raise ValueError("percent must be from 80 to 100")
     spark = documents.sparkSession
+    small_batches(spark)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key")
     texts = documents.select(key, "text")
     rows = stored(texts.mapInArrow(_described(size), "kind long, a long, b long, c long, bits array<long>"))

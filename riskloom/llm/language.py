@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import fold, table, utf8
+from riskloom.llm.common import fold, small_batches, table, utf8
 from riskloom.llm.features import FOLDED, WIDTH, counts, unit
 from riskloom.llm.hashing import row_slices
 from riskloom.session import pinned
@@ -103,6 +103,7 @@ def sample(labelled: DataFrame) -> DataFrame:
 
 def fit(documents: DataFrame) -> tuple[list[str], list[tuple[str, str, np.ndarray]]]:
     """Known languages and machines (positive side, negative side, weights); families are told from ``""``, the others."""
+    small_batches(documents.sparkSession)
     labelled = documents.where("lang IS NOT NULL AND text IS NOT NULL AND NOT held_out")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

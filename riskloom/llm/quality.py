@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import fold, table, utf8
+from riskloom.llm.common import fold, small_batches, table, utf8
 from riskloom.llm.features import WIDTH, counts, unit
 from riskloom.llm.hashing import row_slices, words
 
@@ -55,9 +55,10 @@ def damped(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 def weighted(x: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Unit rows; the share of repeats weighs up to REPEATS times all trigrams together."""
-    trigrams = x[:, :-1] * rarity
-    norms = np.linalg.norm(trigrams, axis=1, keepdims=True)
-    return unit(np.hstack([trigrams, REPEATS * x[:, -1:] * norms]))
+    rows = np.empty_like(x)
+    np.multiply(x[:, :-1], rarity, out=rows[:, :-1])
+    rows[:, -1] = REPEATS * x[:, -1] * np.linalg.norm(rows[:, :-1], axis=1)
+    return unit(rows)
 
 
 def sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -97,6 +98,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> dict[int, bytes]:
             columns = [batch.column(0), pa.array(rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["label", "x"])
 
+    small_batches(documents.sparkSession)
     rows = sample(documents, labels).mapInArrow(featured, "label int, x binary")
     # One group: the sample has a fixed bound.
     fitted = rows.groupBy().applyInPandas(_factorised, "part int, data binary")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import table, utf8
+from riskloom.llm.common import small_batches, table, utf8
 from riskloom.llm.hashing import grams, row_slices, words
 
 WINDOW = 20
@@ -98,10 +98,10 @@ def _probe(buckets: int, window: int, block: int):
     """Packed rolling runs of each batch of (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             ids = _ids(batch.column(0))
             raw, offsets = utf8(batch.column(1))
-            held = []
             for first, _, part, own in row_slices(raw, offsets):
                 found, _, _, bounds = words(part, own)
                 full = np.diff(bounds) >= window
@@ -117,8 +117,8 @@ def _probe(buckets: int, window: int, block: int):
                 if sum(len(part[0]) for part in held) >= FLUSH:
                     yield from _tables(_probed(held, buckets))
                     held = []
-            if held:
-                yield from _tables(_probed(held, buckets))
+        if held:
+            yield from _tables(_probed(held, buckets))
 
     return run
 
@@ -202,11 +202,11 @@ def _extend(buckets: int, window: int, block: int):
     """Packed windows around anchors of each batch of (key, text, found)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             ids = _ids(batch.column(0))
             raw, offsets = utf8(batch.column(1))
             found = batch.column(2)
-            held = []
             for first, end, part, own in row_slices(raw, offsets):
                 hashed, _, _, bounds = words(part, own)
                 runs, run_edges = grams(hashed, bounds, block)
@@ -226,8 +226,8 @@ def _extend(buckets: int, window: int, block: int):
                 if sum(len(part[0]) for part in held) >= FLUSH:
                     yield from _tables(_extended(held, buckets))
                     held = []
-            if held:
-                yield from _tables(_extended(held, buckets))
+        if held:
+            yield from _tables(_extended(held, buckets))
 
     return run
 
@@ -269,6 +269,7 @@ def repeats(documents: DataFrame, window: int = WINDOW, block: int = BLOCK, carr
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it starts")
     spark = documents.sparkSession
+    small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key")
     text = F.coalesce("text", F.lit("")).alias("text")
