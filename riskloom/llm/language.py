@@ -14,6 +14,10 @@ of the family's margin and of the mean margin of the winner's pairs.
 The model is one row of ``WIDTH`` numbers per machine; what travels to the tasks is bounded by
 LANGUAGES and WIDTH.
 
+Documents are recognised if they have a letter and score at least as much as all but the
+``REJECTED`` share of labelled documents that took no part in training (at most PER_LANGUAGE of
+each label). If nothing could be learned or no such document is there, a letter is enough.
+
 Edge cases. A text that is null or has no letter is ``und`` with score 0, as is every text if no
 label could be learned. Null labels aren't learned from. Repeated rows are predicted each.
 Texts are read whole. Other columns are ignored.
@@ -37,6 +41,7 @@ from riskloom.session import pinned
 
 PER_LANGUAGE = 500
 LANGUAGES = 64
+REJECTED = 0.005
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb",
     "romance": "fr es it pt ro ca gl oc",
@@ -210,15 +215,30 @@ def identify(documents: DataFrame, model: tuple) -> DataFrame:
     return documents.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
 
+def least_score(documents: DataFrame, model: tuple) -> float:
+    """The score below which a language can't be told, from documents that the machines haven't seen."""
+    if not model[1]:
+        return 0.0
+    unseen = sample(documents.where("lang IS NOT NULL AND text IS NOT NULL AND held_out"))
+    rows = identify(unseen.select("doc_id", "text", "held_out"), model).where(F.col("lang_pred") != UNKNOWN)
+    scores = np.sort([row.score for row in rows.select("score").collect()])  # as many as a sample has
+    return float(scores[int(REJECTED * len(scores))]) if len(scores) else 0.0
+
+
 def recognised(documents: DataFrame) -> DataFrame:
-    """``documents`` without those whose language can't be told (``und``); fitted as above."""
-    known, machines = fit(documents.select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out")))
+    """``documents`` without those whose language can't be told: no letter, or too low a score."""
+    rows = documents.select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out"))
+    known, machines = fit(rows)
+    least = least_score(rows, (known, machines))
     place = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = identified(batch.column(place), known, shared.value)[0]
-            yield batch.filter(pa.array(names != UNKNOWN))
+            texts = batch.column(place)
+            kept = has_letter(texts)
+            if shared.value:
+                kept &= identified(texts, known, shared.value)[1] >= least
+            yield batch.filter(pa.array(kept))
 
     shared = documents.sparkSession.sparkContext.broadcast(machines)
     return documents.mapInArrow(run, documents.schema)

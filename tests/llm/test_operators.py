@@ -96,6 +96,29 @@ def test_language_rejects_what_has_no_letters(spark, folder):
     assert language.predicted(rows.where("false")).count() == 0
 
 
+def test_texts_in_no_learned_language_go(spark, folder):
+    own = spark.read.parquet(folder.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text", "lang")
+    odd = [
+        "tämä lause on kirjoitettu suomeksi eikä sitä ole opittu kukaan " * 4,
+        "Это предложение написано на русском языке и его никто не учил. " * 4,
+        "zxqj kvw qxz jjq wvk xzq " * 10,
+        "a 1 2 3 !!",
+        "12 34 56",
+        None,
+    ]
+    rows = own.unionByName(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], own.schema))
+    kept = {r.doc_id for r in language.recognised(rows).collect()}
+    assert not [i for i in kept if i < 0]
+    assert len(kept) >= 0.985 * own.count()
+
+
+def test_a_letter_is_enough_if_no_language_could_be_learned(spark):
+    texts = ["the dog", "12 34", None, "", "Это", "a 1 2 3 !!"]
+    for lang in (None, "en"):
+        rows = spark.createDataFrame([(i, t, lang) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+        assert sorted(r.doc_id for r in language.recognised(rows).collect()) == [0, 4, 5]
+
+
 def test_language_and_quality_on_held_out_documents(spark, folder):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = [r for r in language.query(spark, folder).collect() if r.held_out and truth[r.doc_id]]
