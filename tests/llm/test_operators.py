@@ -240,6 +240,28 @@ def test_pipeline_keeps_clean_documents(spark, folder):
     assert found < {r.doc_id for r in docs.collect()} and len(found) > 0.5 * docs.count()
 
 
+def test_one_row_of_each_group_of_near_copies_stays(spark):
+    import corpus_pipeline
+
+    copy, near = BASE + " alpha beta", BASE + " alpha beta gamma"
+    other, lone = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    cases = [
+        ([(1, copy), (1, copy), (1, copy), (2, other)], [(1, copy), (2, other)]),
+        ([(None, copy), (3, near), (4, copy), (5, other)], [(None, copy), (5, other)]),
+        ([(None, copy), (None, copy), (None, near), (None, other)], 2),
+        ([(7, other), (7, near), (3, copy), (8, lone)], [(3, copy), (7, other), (8, lone)]),
+        ([(7, None), (7, None), (None, ""), (8, "")], [(7, None), (7, None), (None, ""), (8, "")]),
+        ([(2, near), (1, copy), (3, other)], [(1, copy), (3, other)]),
+    ]
+    for rows, kept in cases:
+        docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row int").repartition(3)
+        found = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+        if kept == 2:
+            assert len(found) == 2 and (None, other) in found
+        else:
+            assert Counter(found) == Counter(kept)
+
+
 def test_kept_digest_is_that_of_the_text(documents):
     plain = {r.doc_id: r.kept for r in substrings.deduplicated(documents).collect()}
     for r in substrings.deduplicated(documents, digest=True).collect():
