@@ -1,7 +1,7 @@
 """Language identification: the family first, then linear SVMs between its languages.
 
-Training takes at most ``PER_LANGUAGE`` documents of each of the ``LANGUAGES`` most frequent
-labels (those with the lowest hash, so the sample doesn't depend on order or partitions).
+Training takes at most ``PER_LANGUAGE`` documents of each label that occurs (those with the
+lowest hash, so the sample doesn't depend on order or partitions).
 Families come from ``FAMILIES``; a label that isn't listed is a family of its own. A linear
 support vector machine per family tells it from the others, and one per pair of languages of a
 family separates the two. Each is fitted in its own Spark task. Features are square roots of
@@ -11,8 +11,8 @@ Prediction takes the family with the largest margin, then lets the pairs of that
 equal votes are settled by the sum of margins. The score is the product of the logistic values
 of the family's margin and of the mean margin of the winner's pairs.
 
-The model is one row of ``WIDTH`` numbers per machine; what travels to the tasks is bounded by
-LANGUAGES and WIDTH.
+The model is one row of ``WIDTH`` numbers per machine: one per family and one per pair of
+languages of a family. A family's machine sees the samples of all labels in one task.
 
 Documents are recognised if they have a letter and score at least as much as all but the
 ``REJECTED`` share of labelled documents that took no part in training (at most PER_LANGUAGE of
@@ -40,7 +40,7 @@ from riskloom.llm.hashing import row_slices
 from riskloom.session import pinned
 
 PER_LANGUAGE = 500
-LANGUAGES = 64
+BROADCAST_ROWS = 500_000
 REJECTED = 0.005
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb",
@@ -96,14 +96,14 @@ def svm(x: np.ndarray, y: np.ndarray, penalty: float = 4.0, passes: int = 20) ->
 
 
 def sample(labelled: DataFrame) -> DataFrame:
-    """At most PER_LANGUAGE rows of each of the LANGUAGES most frequent labels."""
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    """At most PER_LANGUAGE rows of each label."""
     hashed = labelled.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(3)).alias("h"))
-    hashed = hashed.join(F.broadcast(common.select("lang")), "lang")  # LANGUAGES rows
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = hashed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
-    # LANGUAGES * PER_LANGUAGE rows at most
-    return labelled.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    chosen = pinned(chosen.select("doc_id", "lang").distinct())
+    if chosen.count() <= BROADCAST_ROWS:  # then the texts need not be shuffled
+        chosen = F.broadcast(chosen)
+    return labelled.join(chosen, ["doc_id", "lang"])
 
 
 def fit(documents: DataFrame) -> tuple[list[str], list[tuple[str, str, np.ndarray]]]:
@@ -120,7 +120,7 @@ def fit(documents: DataFrame) -> tuple[list[str], list[tuple[str, str, np.ndarra
     # Written once: the sample is small, and the texts behind it are not read for each problem.
     rows = sample(labelled).select("lang", "text").mapInArrow(featured, "lang string, x binary")
     rows = pinned(rows)
-    known = sorted(row[0] for row in rows.select("lang").distinct().collect())  # LANGUAGES at most
+    known = sorted(row[0] for row in rows.select("lang").distinct().collect())  # one row per label
     families = sorted({family_of(code) for code in known})
     problems = [(family, "") for family in families] if len(families) > 1 else []
     for family in families:
