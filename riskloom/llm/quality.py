@@ -1,6 +1,7 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-Training takes at most ``PER_CLASS`` labelled documents of each class (lowest hash first). Their
+Training takes at most ``PER_CLASS`` labelled documents of each class (lowest hash first; only
+documents that are there and have a text). Their
 byte trigrams, log-damped and weighted by how few of them hold the trigram, and the share of
 words that repeat the one before are factorised; the
 leading ``RANK`` right singular vectors span the space. Every document is projected and compared
@@ -64,7 +65,8 @@ def weighted(x: np.ndarray, rarity: np.ndarray) -> np.ndarray:
 def sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(label, text) of the labelled documents that are learned from."""
     known = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("label"))
-    known = known.where(fold("doc_id", 3) != 1)
+    usable = documents.where("text IS NOT NULL").select("doc_id")  # others must not take up places
+    known = known.where(fold("doc_id", 3) != 1).join(usable, "doc_id", "left_semi")
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id")
     chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_CLASS)
     # 2 * PER_CLASS ids at most
