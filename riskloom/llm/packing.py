@@ -77,7 +77,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return int((whole + large + extra).max()) if len(lengths) else 0
 
 
-def _packed(names: list[str], length: str, group: str, capacity: int, turn: int):
+def _packed(names: list[str], own_names: list[str], length: str, group: str, capacity: int, turn: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         lengths = rows[length].fillna(0).to_numpy(np.int64)
         if len(lengths) and (lengths.min() < 0 or lengths.max() > capacity):
@@ -91,9 +91,8 @@ def _packed(names: list[str], length: str, group: str, capacity: int, turn: int)
             kept = fill == capacity
         own = int(rows[group].iloc[0])
         rows = rows[names].copy()
-        rows["_sequence"] = (turn << 56) + (own << 28) + bins
-        rows["_offset"] = offsets
-        rows["_kept"] = kept[bins].astype(np.int64)
+        for name, values in zip(own_names, ((turn << 56) + (own << 28) + bins, offsets, kept[bins].astype(np.int64))):
+            rows[name] = values
         return rows
 
     return run
@@ -103,7 +102,8 @@ def pack(df: DataFrame, length: str, capacity: int = CAPACITY) -> DataFrame:
     """``df`` with ``sequence_id`` and ``offset``; lengths of a sequence sum to ``capacity`` at most."""
     sequence, offset = free_name(df, "sequence_id"), free_name(df, "offset")
     names, group = df.columns, free_name(df, "pack_group")
-    extra = [StructField(x, LongType()) for x in ("_sequence", "_offset", "_kept")]
+    own_names = [free_name(df, name) for name in ("_sequence", "_offset", "_kept")]
+    extra = [StructField(name, LongType()) for name in own_names]
     schema = StructType([*df.schema.fields, *extra])
     done, rest, last = [], pinned(df), None
     for turn in range(ROUNDS):
@@ -116,17 +116,17 @@ def pack(df: DataFrame, length: str, capacity: int = CAPACITY) -> DataFrame:
         dealt = rest.withColumn(
             group, F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(turn)), F.lit(groups))
         )
-        run = _packed(names, length, group, capacity, turn)
+        run = _packed(names, own_names, length, group, capacity, turn)
         packed = pinned(dealt.groupBy(group).applyInPandas(run, schema))
-        done.append(packed if final else packed.where("_kept = 1"))
+        done.append(packed if final else packed.where(F.col(own_names[2]) == 1))
         if final:
             break
-        rest, last = packed.where("_kept = 0").select(*names), mass
+        rest, last = packed.where(F.col(own_names[2]) == 0).select(*names), mass
     whole = done[0]
     for part in done[1:]:
         whole = whole.unionByName(part)
     return whole.select(
-        *names, F.col("_sequence").alias(sequence), F.col("_offset").alias(offset)
+        *names, F.col(own_names[0]).alias(sequence), F.col(own_names[1]).alias(offset)
     )
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import small_batches, table, utf8
+from riskloom.llm.common import free_name, small_batches, table, utf8
 from riskloom.llm.hashing import grams, row_slices, words
 
 WINDOW = 20
@@ -265,29 +265,34 @@ def removed(hashes: np.ndarray, bounds: np.ndarray, window: int, known: list[np.
 
 
 def repeats(documents: DataFrame, window: int = WINDOW, block: int = BLOCK, carry: tuple = ()) -> DataFrame:
-    """(key, text, found, carried columns) of every document; ``found`` has the hashes of its earlier windows."""
+    """(key, text, found, carried columns) of every document; ``found`` has the hashes of its earlier windows.
+
+    Key and found get underscores where ``documents`` has such columns.
+    """
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it starts")
     spark = documents.sparkSession
     small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key")
+    key_name, found_name = free_name(documents, "key"), free_name(documents, "found")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias(key_name)
     text = F.coalesce("text", F.lit("")).alias("text")
     rows = documents.select(key, text)
     # Both joins read the same exchange of the texts.
-    by_key = documents.select(key, text, *carry).repartition(buckets, "key")
+    by_key = documents.select(key, text, *carry).repartition(buckets, key_name)
     probes = rows.mapInArrow(_probe(buckets, window, block), _PACKED)
     told = lambda f, kind, rows: (
         rows.groupBy("bucket")
         .applyInPandas(lambda part: f(part, buckets), _PACKED)
         .groupBy("bucket")
         .applyInPandas(_owned(kind), "key long, found binary")
+        .toDF(key_name, found_name)
     )
     anchors = told(_anchors, np.uint32, probes)
-    near = by_key.select("key", "text").join(anchors, "key").select("key", "text", "found")
+    near = by_key.select(key_name, "text").join(anchors, key_name).select(key_name, "text", found_name)
     windows = near.mapInArrow(_extend(buckets, window, block), _PACKED)
     earlier = told(_earlier, np.uint64, windows)
-    return by_key.join(earlier, "key", "left").select("key", "text", "found", *carry)
+    return by_key.join(earlier, key_name, "left").select(key_name, "text", found_name, *carry)
 
 
 def deduplicated(documents: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
