@@ -23,8 +23,8 @@ TOLERANCE = 1e-4
 FOREST_TREES = 100
 FOREST_DEPTH = 30
 
-# A smaller training set may sit in one partition; it is spread to give every core a part.
-SMALL_ROWS = 1_000_000
+# MLlib bags rows per partition: neither the size nor the machine may change how rows are dealt.
+FOREST_PARTITIONS = 64
 
 
 def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeline:
@@ -63,9 +63,11 @@ def fit(kind: str, train: DataFrame, columns: Sequence[str], seed: int = 42) ->
     if len(classes) < 2:
         return None
     rows = sum(row["count"] for row in classes)
-    weighted = balanced_weights(train.select("label", *columns).fillna(0.0, list(columns)))
-    if kind == RANDOM_FOREST and rows < SMALL_ROWS:
-        weighted = weighted.repartition(train.sparkSession.sparkContext.defaultParallelism)
+    keys = [name for name in ("transaction_id",) if name in train.columns]
+    weighted = balanced_weights(train.select(*keys, "label", *columns).fillna(0.0, list(columns)))
+    if kind == RANDOM_FOREST:
+        keys += ["label", *columns]  # rows with all of these equal can change places
+        weighted = weighted.repartition(FOREST_PARTITIONS, *keys).sortWithinPartitions(*keys)
     return _pipeline(kind, columns, rows, seed).fit(weighted)
 
 
