@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, jaccard, language, packing, permutation, quality, sharding, substrings, voronoi
+from riskloom.llm import bpe, chat, jaccard, language, packing, periods, permutation, quality, sharding, substrings
+from riskloom.llm import voronoi
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.query,
     "op9_chat_round_trip": chat.query,
     "op10_substring_anchors": substrings.query,
+    "op13_recompression_runs": periods.query,
 }
 
 ORACLES = {
