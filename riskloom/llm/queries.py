@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, jaccard, language, packing, periods, permutation, quality, sharding, substrings
-from riskloom.llm import voronoi
+from riskloom.llm import bpe, chat, jaccard, language, negatives, packing, periods, permutation, quality, sharding
+from riskloom.llm import substrings, voronoi
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_best_fit_packing": packing.query,
     "op9_chat_round_trip": chat.query,
     "op10_substring_anchors": substrings.query,
+    "op12_strassen_negatives": negatives.query,
     "op13_recompression_runs": periods.query,
 }
 
 ORACLES = {
     "op4_voronoi_top_k": voronoi.ORACLE,
     "op9_chat_round_trip": chat.ORACLE,
+    "op12_strassen_negatives": negatives.ORACLE,
 }
