@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, jaccard, language, negatives, packing, periods, permutation, quality, sharding
-from riskloom.llm import substrings, voronoi
+from riskloom.llm import bpe, chat, chosen_path, jaccard, language, negatives, packing, periods
+from riskloom.llm import permutation, quality, sharding, substrings, voronoi
 
 QUERIES = {
     "op1_feistel_sharding": sharding.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.query,
     "op9_chat_round_trip": chat.query,
     "op10_substring_anchors": substrings.query,
+    "op11_chosen_path_dedup": chosen_path.query,
     "op12_strassen_negatives": negatives.query,
     "op13_recompression_runs": periods.query,
 }
