@@ -15,8 +15,8 @@ of members that no link has joined yet:
 * none: the node is closed;
 * at most ``OPEN`` a member: the members outside the node's largest component are compared
   with all members of other components, in blocks of ``BLOCK`` members;
-* more: all members are first compared with one of them, a hub, which joins a group of near
-  copies by one comparison each; if many pairs are still open, the node branches.
+* more: the node branches. In the first trees all its members are compared with one of them
+  before, a hub, which joins a group of near copies by one comparison each.
 
 Below ``DEPTH`` levels all nodes are compared exhaustively. Nothing is dropped for its size: a group of
 copies of any size is one set, a group of near copies one component after its first hub.
@@ -204,7 +204,6 @@ class Join:
     def __init__(self, texts: DataFrame, classes: DataFrame, size: int, percent: int):
         self.texts, self.classes, self.size, self.percent = texts, classes, size, percent
         self.links = self.labels = None
-        self.compared: list[DataFrame] = []
 
     def labelled(self, members: DataFrame) -> DataFrame:
         """With the label of each member's component, its own id if no link has joined it."""
@@ -246,18 +245,14 @@ class Join:
         spoke = spoke.select(F.struct("sid", "n", "label").alias("x"), F.col("hub").alias("y")).where(self._sizes())
         return spoke.selectExpr("least(x.sid, y.sid) AS x", "greatest(x.sid, y.sid) AS y").distinct()
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Compare new pairs of different components on full sets; their links join components."""
-        for known in self.compared:
-            pairs = pairs.join(known, ["x", "y"], "left_anti")
+    def confirm(self, pairs: DataFrame) -> bool:
+        """Compare pairs of different components on full sets; their links join components. Whether any linked."""
         if self.labels is not None:
             labels = self.labels.select("node", "label")
             for end in ("x", "y"):
                 known = labels.toDF(end, f"of_{end}")
                 pairs = pairs.join(known, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
             pairs = pairs.where("of_x <> of_y").select("x", "y")
-        pairs = stored(pairs)
-        self.compared.append(pairs)
         for end in ("x", "y"):
             pairs = pairs.join(self.classes.selectExpr(f"sid AS {end}", f"sketch AS sketch_{end}"), end)
         alike = pairs.select("x", "y", "sketch_x", "sketch_y").mapInArrow(_alike(LEAST), "x long, y long")
@@ -268,17 +263,21 @@ class Join:
             wanted = F.broadcast(wanted)
         texts = self.texts.join(wanted, "key").select("sid", "text").mapInArrow(_own_text(self.size), "sid long, text string")
         texts = stored(texts.groupBy("sid").agg(F.first("text").alias("text")))
-        # The hub of many pairs is x or y; the text that is joined first travels with light rows.
-        both = looked_up(alike, "x", "y", texts.withColumnRenamed("text", "a"), "sid", "a")
-        both = looked_up(both, "y", "x", texts.withColumnRenamed("text", "b"), "sid", "b").select("x", "y", "a", "b")
+        # The hub of a group is an end of many pairs: AQE splits these joins, which copies its text only.
+        both = alike.join(texts.toDF("x", "a"), "x").join(texts.toDF("y", "b"), "y").select("x", "y", "a", "b")
         found = stored(both.mapInArrow(_linked(self.size, self.percent), "x long, y long"))
         if found.isEmpty():
-            return
+            return False
         self.links = found if self.links is None else self.links.union(found)
         self.labels = connected(self.links)
+        return True
 
-    def grow(self, trees: list[int]) -> None:
-        """All levels of some trees; what they find is known to the next ones."""
+    def grow(self, trees: list[int], hubs: bool) -> None:
+        """All levels of some trees; what they find is known to the next ones.
+
+        With ``hubs``, large nodes get stars for as long as these find links: later levels and
+        trees only meet what no hub has joined, and branch.
+        """
         candidates = self.classes.select("sid", "n", "sketch")
         level = stored(candidates.mapInArrow(_roots(trees, self.percent), _MEMBERS))
         pairs: list[DataFrame] = []
@@ -290,11 +289,11 @@ class Join:
             nodes = stored(self.open_nodes(members))
             small = F.col("open") <= OPEN * F.col("m")
             large = nodes.where(~small)
-            if depth < DEPTH and not large.isEmpty():
-                self.confirm(self.stars(members.join(large.select("node"), "node", "left_semi")))
+            if hubs and not large.isEmpty():
+                hubs = self.confirm(self.stars(members.join(large.select("node"), "node", "left_semi")))
                 members = stored(self.labelled(members.drop("label")))
                 nodes = stored(self.open_nodes(members))
-            elif depth == DEPTH:
+            if depth == DEPTH:
                 small = F.lit(True)
             if nodes.isEmpty():
                 break
@@ -323,9 +322,9 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = rows.where(f"n > 0 AND ({able})").groupBy("sid")
     classes = stored(classes.agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     join = Join(texts, classes, size, percent)
-    join.grow(list(range(min(FIRST, trees))))
+    join.grow(list(range(min(FIRST, trees))), hubs=True)
     if trees > FIRST:
-        join.grow(list(range(FIRST, trees)))
+        join.grow(list(range(FIRST, trees)), hubs=False)
     # Copies are one set: the smallest id of every set, then of every component.
     owners = rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"))
     owners = join.labelled(owners)
