@@ -23,11 +23,19 @@ TOLERANCE = 1e-4
 FOREST_TREES = 100
 FOREST_DEPTH = 30
 
-# MLlib bags rows per partition: neither the size nor the machine may change how rows are dealt.
-FOREST_PARTITIONS = 64
+# MLlib bags rows per partition, so the same rows must always be dealt alike: into a number of
+# partitions that depends on the rows only, not on the machine or the session.
+FOREST_PARTITIONS = 8
+FOREST_ROWS = 50_000  # a partition above FOREST_PARTITIONS of them
 
 
-def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeline:
+def forest_partitions(rows: int) -> int:
+    return max(FOREST_PARTITIONS, -(-rows // FOREST_ROWS))
+
+
+def _pipeline(
+    kind: str, columns: Sequence[str], rows: int, seed: int, trees: int, depth: int
+) -> Pipeline:
     inputs = VectorAssembler(inputCols=list(columns), outputCol="_vector")
     if kind == LOGISTIC:
         scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True)
@@ -46,8 +54,8 @@ def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeli
         featuresCol="_vector",
         labelCol="label",
         weightCol="weight",
-        numTrees=FOREST_TREES,
-        maxDepth=FOREST_DEPTH,
+        numTrees=trees,
+        maxDepth=depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
         # Deep trees: rows keep their node, so the grown trees are not sent to every task.
@@ -57,7 +65,14 @@ def _pipeline(kind: str, columns: Sequence[str], rows: int, seed: int) -> Pipeli
     return Pipeline(stages=[inputs, model])
 
 
-def fit(kind: str, train: DataFrame, columns: Sequence[str], seed: int = 42) -> PipelineModel | None:
+def fit(
+    kind: str,
+    train: DataFrame,
+    columns: Sequence[str],
+    seed: int = 42,
+    trees: int = FOREST_TREES,
+    depth: int = FOREST_DEPTH,
+) -> PipelineModel | None:
     """Fit with balanced class weights; None where the rows hold a single class."""
     classes = train.groupBy("label").count().collect()  # one row per class
     if len(classes) < 2:
@@ -67,8 +82,8 @@ def fit(kind: str, train: DataFrame, columns: Sequence[str], seed: int = 42) ->
     weighted = balanced_weights(train.select(*keys, "label", *columns).fillna(0.0, list(columns)))
     if kind == RANDOM_FOREST:
         keys += ["label", *columns]  # rows with all of these equal can change places
-        weighted = weighted.repartition(FOREST_PARTITIONS, *keys).sortWithinPartitions(*keys)
-    return _pipeline(kind, columns, rows, seed).fit(weighted)
+        weighted = weighted.repartition(forest_partitions(rows), *keys).sortWithinPartitions(*keys)
+    return _pipeline(kind, columns, rows, seed, trees, depth).fit(weighted)
 
 
 def probability(model: PipelineModel, df: DataFrame, columns: Sequence[str], out: str = "score") -> DataFrame:
