@@ -2,9 +2,10 @@
 
 Encoding uses the tokenizers library. A text is cut at every space that stands before a
 character other than white space; such a space always begins a piece of the split pattern, so
-the parts can be encoded apart and their ids joined. Parts repeat, hence each worker keeps the
-ids of those seen lately (at most about ``CACHE_BYTES``) and gives only new ones to the
-library, all of a batch at once. The library turns bytes into printable characters;
+the parts can be encoded apart and their ids joined. Arrow splits and numbers the words of a batch,
+so each different one is looked up once and the ids of the texts are gathered from a table; texts
+with spaces that are no cut are split one by one. Each worker keeps the ids of words seen lately (at
+most about ``CACHE_BYTES``) and gives only new ones to the library, all of a batch at once. The library turns bytes into printable characters;
 ``byte_table`` reverses that, which gives the bytes of every id. Decoding joins those bytes, so
 a character that is split over several tokens comes back whole, and the character offsets of
 tokens follow from the bytes that begin a character.
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
@@ -34,7 +36,12 @@ from tokenizers import Tokenizer
 from riskloom.llm.common import free_name, table
 
 CACHE_BYTES = 96 << 20
+GROUP = 512  # texts whose words are numbered together
 _CUT = re.compile(r" (?=\S)")
+# A space that is no cut: the last character, or before white space. \s of the Arrow library is ASCII only.
+_UNEVEN = (
+    r" $| [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 _loaded: dict[str, "Codec"] = {}
 
 
@@ -59,6 +66,7 @@ class Codec:
         for token, number in vocabulary.items():
             if all(c in table for c in token):
                 self.bytes_of[number] = bytes(table[c] for c in token)
+        self.sizes = np.array([len(piece) for piece in self.bytes_of], np.int64)
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.held = 0
@@ -73,28 +81,74 @@ class Codec:
                 new.append(part)
             else:
                 self._keep(part, ids)
-        for start in range(0, len(new), 20_000):
-            some = new[start : start + 20_000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self._keep(part, np.array(found.ids, "<u4").tobytes())
+        # Words that begin with a space are encoded as one text, which the library does with less
+        # overhead, and its tokens are dealt back by their bytes.
+        spaced = [part for part in new if part[0:1] == " "]
+        for start in range(0, len(spaced), 20_000):
+            some = spaced[start : start + 20_000]
+            text = "".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            sizes = [len(part) for part in some] if text.isascii() else [len(part.encode()) for part in some]
+            bounds = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes)) + 1
+            flat, first = ids.tobytes(), 0
+            for part, end in zip(some, (bounds * 4).tolist()):
+                self._keep(part, flat[first:end])
+                first = end
+        rest = [part for part in new if part[0:1] != " "]
+        for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self._keep(part, np.array(found.ids, "<u4").tobytes())
 
     def _keep(self, part: str, ids: bytes) -> None:
         self.known[part] = ids
         self.held += 200 + 2 * len(part) + len(ids)
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        for start in range(0, len(texts), 256):
-            cut = []
-            for text in texts[start : start + 256]:
-                first, *rest = _CUT.split(text or "")
-                cut.append(([first] if first else []) + [" " + part for part in rest])
-            parts = set()
-            parts.update(*cut)
-            self._learn(parts)
-            known = self.known
-            for one in cut:
-                yield b"".join([known[part] for part in one])
+        for start in range(0, len(texts), GROUP):
+            some = texts.slice(start, GROUP).fill_null("")
+            if pc.any(pc.match_substring_regex(some, _UNEVEN)).as_py():
+                yield from self._apart(some)
+            else:
+                yield from self._split(some)
+
+    def _apart(self, texts: pa.Array) -> Iterator[bytes]:
+        """Texts in which some space is no cut: each by itself if that is so, the others together."""
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        even = self._split(texts.filter(pc.invert(uneven)))
+        for text, own in zip(texts, uneven.to_pylist()):
+            if not own:
+                yield next(even)
+                continue
+            first, *rest = _CUT.split(text.as_py())
+            cut = ([first] if first else []) + [" " + part for part in rest]
+            self._learn(set(cut))
+            yield b"".join([self.known[part] for part in cut])
+
+    def _split(self, texts: pa.Array) -> Iterator[bytes]:
+        """Texts that are cut at all of their spaces: words are looked up once a call, in a table."""
+        words = pc.split_pattern(texts, " ")
+        edges = words.offsets.to_numpy().astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        # Every word but the first of a text takes the space before it along.
+        code = coded.indices.to_numpy().astype(np.int64) * 2 + 1
+        code[edges[:-1] - edges[0]] -= 1
+        present = np.zeros(2 * len(coded.dictionary), bool)
+        present[code] = True
+        own, spaced = coded.dictionary.to_pylist(), np.flatnonzero(present)
+        parts = [" " + own[i >> 1] if i & 1 else own[i >> 1] for i in spaced.tolist()]
+        self._learn(set(parts))
+        found = [self.known[part] for part in parts]
+        table = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+        row = (np.cumsum(present) - 1)[code]
+        lengths = sizes[row]
+        ends = np.cumsum(lengths)
+        starts = (np.cumsum(sizes) - sizes)[row]
+        shift = np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
+        ids = table[np.arange(len(shift), dtype=np.int32) + shift]
+        bounds = np.concatenate([[0], ends])[edges - edges[0]].tolist()
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            yield ids[a:b].tobytes()
 
     def decode(self, ids: bytes) -> bytes:
         table = self.bytes_of
@@ -130,7 +184,7 @@ def encode(df: DataFrame, text: str, vocabulary: str, offsets: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
         for batch in batches:
-            found = list(own.encode(batch.column(place).to_pylist()))
+            found = list(own.encode(batch.column(place)))
             columns = [*batch.columns, pa.array([unsigned(x) for x in found], pa.list_(pa.int32()))]
             if offsets:
                 pairs = [[{"first": a, "end": b} for a, b in own.offsets(x)] for x in found]
@@ -172,7 +226,7 @@ def digests(df: DataFrame, key: str, text: str, vocabulary: str) -> DataFrame:
         own = codec(vocabulary)
         for batch in batches:
             counts, coded, back = [], [], []
-            for ids in own.encode(batch.column(1).to_pylist()):
+            for ids in own.encode(batch.column(1)):
                 counts.append(len(ids) // 4)
                 coded.append(hashlib.sha256(ids).hexdigest())
                 back.append(hashlib.sha256(own.decode(ids)).hexdigest())

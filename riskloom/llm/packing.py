@@ -156,7 +156,7 @@ def pieces(df: DataFrame, key: str, text: str, vocabulary: str, capacity: int, e
         own = codec(vocabulary)
         for batch in batches:
             rows = []
-            for row, ids in enumerate(own.encode(batch.column(1).to_pylist())):
+            for row, ids in enumerate(own.encode(batch.column(1))):
                 ids += closing
                 for piece, (start, size) in enumerate(cuts(len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + size)]
