@@ -423,6 +423,32 @@ def parsed_times(spark: SparkSession, folder: str) -> DataFrame:
     return events.select("event_id", parsed_time(text).alias("event_time"))
 
 
+@register(
+    "parsed_time_shapes",
+    """SELECT event_id, CASE event_id % 9
+  WHEN 0 THEN ts WHEN 1 THEN date_trunc('minute', ts) WHEN 2 THEN date_trunc('second', ts) + INTERVAL 3 HOURS
+  WHEN 3 THEN date_trunc('minute', ts) WHEN 4 THEN date_trunc('minute', ts)
+  WHEN 5 THEN date_trunc('second', ts) WHEN 6 THEN date_trunc('minute', ts)
+  WHEN 7 THEN date_trunc('day', ts) ELSE NULL END AS event_time FROM events""",
+)
+def parsed_time_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """More accepted forms, one per residue; a month 13 is not a time."""
+    kind = F.col("event_id") % 9
+    text = (
+        F.when(kind == 0, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("789Z")))
+        .when(kind == 1, F.date_format("ts", "yyyy/MM/dd HH:mm"))
+        .when(kind == 2, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("-0300")))
+        .when(kind == 3, F.date_format("ts", "dd MMM yyyy HH:mm"))
+        .when(kind == 4, F.date_format("ts", "yyyy-MM-dd hh:mm a"))
+        .when(kind == 5, F.date_format("ts", "M/d/yyyy h:mm:ss a"))
+        .when(kind == 6, F.date_format("ts", "M/d/yyyy HH:mm"))
+        .when(kind == 7, F.date_format("ts", "yyyy/M/d"))
+        .otherwise("2024/13/01 10:00")
+    )
+    events = inputs.table(spark, folder, "events")
+    return events.select("event_id", parsed_time(text).alias("event_time"))
+
+
 @register(
     "flag_texts",
     """SELECT event_id, event_type IN ('click', 'view') AS flagged FROM events""",
@@ -723,6 +749,37 @@ def upsert_feature_store(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(done.drop("action", "last_24h_avg_amount"))
 
 
+@register("keyed_scores", ORACLES["upsert_scores"])
+def keyed_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Two merges into the score table, and a replay of the second, read back."""
+    table = tables.score_table(spark, f"{checkpoint_folder(spark)}/scores-{uuid.uuid4().hex}")
+    rows = inputs.scores(spark, folder).drop("label")
+    late = rows.where(F.col("event_time") >= F.lit(inputs.BATCH_FROM).cast("timestamp_ntz"))
+    new = late.withColumns(
+        {
+            "score": F.col("score") / 2,
+            "flagged": F.lit(False),
+            "scored_at": F.lit(inputs.AS_OF).cast("timestamp_ntz"),
+        }
+    )
+    table.merge(inputs.seen(rows), "first")
+    for _ in range(2):
+        table.merge(new, "second")
+    return rounded(table.read().select("transaction_id", "score", "flagged", "scored_at"))
+
+
+@register("keyed_feature_store", ORACLES["upsert_feature_store"])
+def keyed_feature_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Two merges into the feature store, read back."""
+    table = tables.feature_store(spark, f"{checkpoint_folder(spark)}/store-{uuid.uuid4().hex}")
+    rows = inputs.transactions(spark, folder)
+    recent = tables.last_day(rows, inputs.AS_OF, extra=("transaction_id",))
+    for part, at in ((inputs.seen(rows), inputs.SEEN_UNTIL), (recent, inputs.AS_OF)):
+        latest = latest_per_user(compute(part)).withColumn("updated_at", F.lit(at).cast("timestamp_ntz"))
+        table.merge(latest, f"until-{at:%Y%m%d}")
+    return rounded(table.read().drop("user_bucket", "last_24h_avg_amount"))
+
+
 @register(
     "layer_counts",
     f"""WITH {CHECKED}

@@ -41,3 +41,38 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         return jvm.java.io.BufferedReader(text).readLine()
     finally:
         stream.close()
+
+
+def text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    fs, target = _fs(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(content, "utf-8"))
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; fails with ``FileAlreadyExistsException`` where ``target`` exists."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    places = [hadoop.Path(place) for place in (source, target)]
+    context = hadoop.FileContext.getFileContext(places[0].toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
+    context.rename(*places, options)
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since the epoch of the last change."""
+    fs, target = _fs(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000

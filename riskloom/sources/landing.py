@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.scalar import without_missing_tokens
-from riskloom.schema import LANDING
+from riskloom.schema import LANDING, RAW
 from riskloom.sources import files
 
 CORRUPT = "_corrupt"
@@ -103,11 +103,18 @@ def read_landing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return rows
 
 
+PROCESSED = T.StructType([field for field in RAW.fields if field.name != "loaded_at"])
+
+
 def processed_layer(spark: SparkSession, live: str, archive: str | None = None) -> DataFrame:
-    """Processed rows, whether or not a loader has archived them."""
-    rows = spark.read.parquet(live)
-    if archive and files.exists(spark, archive):
-        rows = rows.unionByName(spark.read.parquet(archive), allowMissingColumns=True)
+    """Processed rows, whether or not a loader has archived them.
+
+    Read with the layer's columns: a folder may hold no row yet, or not exist.
+    """
+    rows = spark.createDataFrame([], PROCESSED)
+    for folder in (live, archive):
+        if folder and files.exists(spark, folder):
+            rows = rows.unionByName(spark.read.schema(PROCESSED).parquet(folder).select(*PROCESSED.names))
     return rows
 
 
