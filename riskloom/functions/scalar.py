@@ -12,13 +12,24 @@ from riskloom.schema import MONEY
 # order they are tried, and the text of a number.
 TIME_SHAPES = [
     (
-        r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?( ?(Z|[+-]\d{2}:\d{2}))?)?$",
+        r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|[+-]\d{2}:?\d{2}))?)?$",
         None,
     ),
     (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
     (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$", "yyyy/M/d H:mm"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]$", "M/d/yyyy h:mm a"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$", "M/d/yyyy h:mm:ss a"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2} [AaPp][Mm]$", "yyyy-M-d h:mm a"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$", "yyyy-M-d h:mm:ss a"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{1,2}:\d{2}$", "d MMM yyyy H:mm"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMM yyyy H:mm:ss"),
 ]
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 

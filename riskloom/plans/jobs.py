@@ -93,18 +93,23 @@ def processed_rows(spark: SparkSession, layers: Layers) -> DataFrame:
     return first_per_key(loadable(rows), "transaction_id", ["event_time", "amount", "user_id"])
 
 
-def local_batch(spark: SparkSession, base: str, **options) -> Trained:
-    """B1: check and normalise new files, then train on the processed layer and score it."""
+def local_batch(spark: SparkSession, base: str, **options) -> Trained | None:
+    """B1: check and normalise new files, then train on the processed layer and score it.
+
+    None as long as no file had a valid row.
+    """
     layers = Layers(base)
     ingest_available(spark, layers, load_raw=False)
-    return train(spark, processed_rows(spark, layers), layers, **options)
+    rows = processed_rows(spark, layers)
+    return None if rows.isEmpty() else train(spark, rows, layers, **options)
 
 
-def daily(spark: SparkSession, base: str, **options) -> Trained:
+def daily(spark: SparkSession, base: str, **options) -> Trained | None:
     """B2: as B1, but new files are also loaded into the raw table, which is trained on."""
     layers = Layers(base)
     ingest_available(spark, layers)
-    return train(spark, raw_table(spark, layers.raw).read(), layers, **options)
+    rows = raw_table(spark, layers.raw).read()
+    return None if rows.isEmpty() else train(spark, rows, layers, **options)
 
 
 def score_rows(

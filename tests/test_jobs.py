@@ -24,6 +24,13 @@ def trained(spark, base):
     return jobs.daily(spark, base, now=NOW)
 
 
+def test_batches_wait_for_the_first_valid_row(spark, tmp_path):
+    for job, base in ((jobs.local_batch, f"{tmp_path}/one"), (jobs.daily, f"{tmp_path}/two")):
+        (tmp_path / base[-3:] / "landing").mkdir(parents=True)
+        (tmp_path / base[-3:] / "landing" / "bad.csv").write_text("transaction_id,amount\nt1,lots\n")
+        assert job(spark, base) is None
+
+
 def test_training_stores_a_model_and_scores(spark, base, trained):
     rows = raw_table(spark, Layers(base).raw).read()
     assert trained.scored.count() == rows.count() > 800
