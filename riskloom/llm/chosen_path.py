@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import small_batches, stored, table
 from riskloom.llm.hashing import mix
 from riskloom.llm.jaccard import shingle_sets, set_ids
-from riskloom.llm.links import connected, looked_up
+from riskloom.llm.links import connected, looked_up, parts_for
 
 SHINGLE, PERCENT = 4, 80
 COORDINATES = 64  # bits of a long: the coordinates a path has used
@@ -204,6 +204,7 @@ class Join:
     def __init__(self, texts: DataFrame, classes: DataFrame, size: int, percent: int):
         self.texts, self.classes, self.size, self.percent = texts, classes, size, percent
         self.links = self.labels = None
+        self.parts = parts_for(classes.count())
 
     def labelled(self, members: DataFrame) -> DataFrame:
         """With the label of each member's component, its own id if no link has joined it."""
@@ -256,16 +257,16 @@ class Join:
         for end in ("x", "y"):
             pairs = pairs.join(self.classes.selectExpr(f"sid AS {end}", f"sketch AS sketch_{end}"), end)
         alike = pairs.select("x", "y", "sketch_x", "sketch_y").mapInArrow(_alike(LEAST), "x long, y long")
-        alike = stored(alike)
+        alike = stored(alike, self.parts)
         wanted = alike.select("x").union(alike.select("y")).distinct().toDF("sid")
-        wanted = stored(wanted.join(self.classes.select("sid", "key"), "sid"))
+        wanted = stored(wanted.join(self.classes.select("sid", "key"), "sid"), self.parts)
         if wanted.count() <= BROADCAST_KEYS:  # then the other texts need not be shuffled
             wanted = F.broadcast(wanted)
         texts = self.texts.join(wanted, "key").select("sid", "text").mapInArrow(_own_text(self.size), "sid long, text string")
-        texts = stored(texts.groupBy("sid").agg(F.first("text").alias("text")))
+        texts = stored(texts.groupBy("sid").agg(F.first("text").alias("text")), self.parts)
         # The hub of a group is an end of many pairs: AQE splits these joins, which copies its text only.
         both = alike.join(texts.toDF("x", "a"), "x").join(texts.toDF("y", "b"), "y").select("x", "y", "a", "b")
-        found = stored(both.mapInArrow(_linked(self.size, self.percent), "x long, y long"))
+        found = stored(both.mapInArrow(_linked(self.size, self.percent), "x long, y long"), self.parts)
         if found.isEmpty():
             return False
         self.links = found if self.links is None else self.links.union(found)
@@ -278,6 +279,7 @@ class Join:
         With ``hubs``, large nodes get stars for as long as these find links: later levels and
         trees only meet what no hub has joined, and branch.
         """
+        self.parts = parts_for(self.classes.count() * len(trees))
         candidates = self.classes.select("sid", "n", "sketch")
         level = stored(candidates.mapInArrow(_roots(trees, self.percent), _MEMBERS))
         pairs: list[DataFrame] = []
@@ -285,26 +287,26 @@ class Join:
             # Most nodes of a level hold one set, or one component: they go by an aggregate that combines.
             shown = self.labelled(level)
             mixed = shown.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-            members = stored(shown.join(mixed.select("node"), "node", "left_semi"))
-            nodes = stored(self.open_nodes(members))
+            members = stored(shown.join(mixed.select("node"), "node", "left_semi"), self.parts)
+            nodes = stored(self.open_nodes(members), self.parts)
             small = F.col("open") <= OPEN * F.col("m")
             large = nodes.where(~small)
             if hubs and not large.isEmpty():
                 hubs = self.confirm(self.stars(members.join(large.select("node"), "node", "left_semi")))
-                members = stored(self.labelled(members.drop("label")))
-                nodes = stored(self.open_nodes(members))
+                members = stored(self.labelled(members.drop("label")), self.parts)
+                nodes = stored(self.open_nodes(members), self.parts)
             if depth == DEPTH:
                 small = F.lit(True)
             if nodes.isEmpty():
                 break
             near = members.join(nodes.where(small), "node")
-            pairs.append(stored(self.exhaustive(near)))
+            pairs.append(stored(self.exhaustive(near), self.parts))
             rest = nodes.where(~small)
             if rest.isEmpty():
                 break
             rest = members.join(rest.select("node"), "node", "left_semi").drop("label")
             rest = rest.join(self.classes.select("sid", "sketch"), "sid").select("node", "used", "sid", "n", "sketch")
-            level = stored(rest.mapInArrow(_deeper(self.percent), _MEMBERS))
+            level = stored(rest.mapInArrow(_deeper(self.percent), _MEMBERS), self.parts)
         if pairs:
             self.confirm(reduce(DataFrame.union, pairs).distinct())
 
@@ -320,7 +322,8 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     # Only sets that can link with another one: some other size or one replaced shingle must be allowed.
     able = f"n * {percent} <= (n - 1) * 100 OR (n + 1) * {percent} <= n * 100"
     classes = rows.where(f"n > 0 AND ({able})").groupBy("sid")
-    classes = stored(classes.agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    first = [F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")]
+    classes = stored(classes.agg(*first), parts_for(rows.count()))
     join = Join(texts, classes, size, percent)
     join.grow(list(range(min(FIRST, trees))), hubs=True)
     if trees > FIRST:

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import stored
 
 SALTS = 16
+LEAST_PARTS, PART_ROWS = 8, 200_000
+
+
+def parts_for(rows: int) -> int:
+    """Files of a table of ids of about so many rows: many rounds on a small table shall not pay for empty tasks."""
+    return max(LEAST_PARTS, -(-rows // PART_ROWS))
 
 
 def looked_up(rows: DataFrame, key: str, spread: str, known: DataFrame, name: str, value: str) -> DataFrame:
@@ -30,16 +36,20 @@ def connected(links: DataFrame) -> DataFrame:
     its plan on to the next round, where they multiply.
     """
     edges = links.select("x", "y").union(links.select("y", "x")).toDF("x", "y").where("x <> y").distinct()
-    edges = stored(edges)
-    labels = stored(edges.groupBy("x").agg(F.min("y").alias("y")).selectExpr("x AS node", "least(x, y) AS label"))
+    parts = parts_for(2 * links.count())
+    edges = stored(edges, parts)
+    labels = edges.groupBy("x").agg(F.min("y").alias("y")).selectExpr("x AS node", "least(x, y) AS label")
+    labels = stored(labels, parts)
     while True:
         near = looked_up(edges, "y", "x", labels, "node", "label").groupBy("x").agg(F.min("label").alias("near"))
         old = labels.withColumnRenamed("label", "old")
-        new = stored(old.join(near, F.col("node") == F.col("x")).selectExpr("node", "old", "least(old, near) AS label"))
+        new = old.join(near, F.col("node") == F.col("x")).selectExpr("node", "old", "least(old, near) AS label")
+        new = stored(new, parts)
         # Labels are nodes, and of each only one row is needed to know where it leads.
         leads = new.select(F.col("label").alias("at")).distinct()
         leads = leads.join(new.selectExpr("node AS at", "label AS far"), "at")
-        new = stored(looked_up(new, "label", "node", leads, "at", "far").selectExpr("node", "old", "least(label, far) AS label"))
+        new = looked_up(new, "label", "node", leads, "at", "far").selectExpr("node", "old", "least(label, far) AS label")
+        new = stored(new, parts)
         labels = new.select("node", "label")
         if new.where("old <> label").isEmpty():
             return labels
