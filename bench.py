@@ -22,6 +22,7 @@ HEADLINE = [
     "features",
     "features_ties",
     "features_skewed",
+    "features_dense",
     "trailing_24h_half_open",
     "feature_store_rows",
     "validated_rows",

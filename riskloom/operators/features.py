@@ -26,8 +26,8 @@ DAY_MICROS = 24 * 60 * 60 * 1_000_000
 NO_PREVIOUS_TXN = -1.0
 NO_BASELINE_RATIO = 1.0
 
-# Above this many rows a user is cut into slices. One sorted list of this length fits a
-# Python worker easily, and inserting into it stays cheap.
+# Above this many rows a user is cut into slices. The values of a user of this length fit a
+# Python worker easily, and ranking them again with each batch stays cheap.
 HOT_ROWS = 100_000
 
 # A hot-user list up to this length is a few MB and is broadcast; a longer one is shuffled.
@@ -54,73 +54,75 @@ def _base(df: DataFrame, carry: Sequence[str]) -> DataFrame:
     )
 
 
-def _light(base: DataFrame) -> DataFrame:
-    """All features of users that fit one task, on one exchange and one sort."""
-    ordered = Window.partitionBy("_u").orderBy("_t", "transaction_id")
-    later_peers = (
-        Window.partitionBy("_u", "_t")
-        .orderBy("transaction_id")
-        .rowsBetween(1, Window.unboundedFollowing)
-    )
-    day = Window.partitionBy("_u").orderBy("_t").rangeBetween(-DAY_MICROS, 0)
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    # A RANGE frame includes rows of the same instant that come later in the order; they
-    # are taken out again. Decimal sums make the subtraction exact.
-    rows = (
-        base.repartition("_u")
-        .withColumns(
-            {
-                "_peer_sum": F.coalesce(F.sum("_amount").over(later_peers), F.lit(0)),
-                "_peer_count": F.count("_amount").over(later_peers),
-            }
-        )
-        .withColumn("_gap", hours_between(F.col("_t"), F.lag("_t").over(ordered)))
-        .withColumns(
-            {
-                "_total": F.sum("_amount").over(day) - F.col("_peer_sum"),
-                "_count": F.count("_amount").over(day) - F.col("_peer_count"),
-            }
-        )
-        .withColumn("_base_count", F.avg("_count").over(earlier))
-        .withColumn("_amount_d", F.col("_amount").cast("double"))
-        .drop("_peer_sum", "_peer_count", "_amount")
-        .sortWithinPartitions("_u", "_t", "transaction_id")
-    )
-    return streamed(rows, "_u", _INPUTS)
-
-
 def _moves(base: DataFrame, opened_at_start: bool) -> DataFrame:
     """Each row enters its window and leaves it a day later, as two rows of one timeline.
 
     With a closed window a row leaves after everything at exactly 24 hours; with a
-    half-open one it leaves before.
+    half-open one it leaves before. Leaving rows carry no other columns.
     """
-    enters = base.withColumns(
-        {
-            "_at": F.col("_t"),
-            "_kind": F.lit(0),
-            "_delta": F.col("_amount"),
-            "_step": F.lit(1).cast("long"),
-            "_row": F.lit(1).cast("long"),
-            "_entered": F.col("_t"),
-        }
+    enters = F.struct(
+        F.lit(0).alias("_kind"),
+        F.col("_t").alias("_at"),
+        F.col("_amount").alias("_delta"),
+        F.lit(1).cast("long").alias("_step"),
     )
-    leaves = base.select(
-        "transaction_id",
-        "_u",
-        (F.col("_t") + F.lit(DAY_MICROS)).alias("_at"),
+    leaves = F.struct(
         F.lit(-1 if opened_at_start else 1).alias("_kind"),
+        (F.col("_t") + F.lit(DAY_MICROS)).alias("_at"),
         (-F.col("_amount")).cast("decimal(12,2)").alias("_delta"),
         F.lit(-1).cast("long").alias("_step"),
-        F.lit(0).cast("long").alias("_row"),
-        F.lit(None).cast("long").alias("_entered"),
     )
-    return enters.unionByName(leaves, allowMissingColumns=True)
+    entering = F.col("_move._kind") == 0
+    kept = ["_u", "transaction_id"]
+    return base.withColumn("_move", F.explode(F.array(enters, leaves))).select(
+        *kept,
+        *[F.when(entering, F.col(name)).alias(name) for name in base.columns if name not in kept],
+        "_move.*",
+        F.when(entering, F.col("_t")).alias("_entered"),
+        entering.cast("long").alias("_row"),
+    )
 
 
 _TIMELINE = ["_u", "_at", "_kind", "transaction_id"]
 
 
+def _entered(base: DataFrame, opened_at_start: bool = False) -> DataFrame:
+    """Trailing sum, count and previous time of users that fit one task.
+
+    A RANGE frame adds up a whole day again for each row, which is quadratic in a dense
+    day. On the timeline both are running totals, so a row costs two steps however many
+    rows its day has. Exploding after the exchange keeps the shuffle at one row each.
+    """
+    order = Window.partitionBy("_u").orderBy(*_TIMELINE[1:])
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    moves = _moves(base.repartition("_u"), opened_at_start)
+    totals = {
+        "_total": F.sum("_delta").over(upto),
+        "_count": F.sum("_step").over(upto),
+        "_previous": F.max("_entered").over(before),
+    }
+    return moves.withColumns(totals).where("_kind = 0").drop("_delta", "_step", "_row", "_entered")
+
+
+def _light(base: DataFrame) -> DataFrame:
+    """All features of users that fit one task, on one exchange and one sort."""
+    earlier = (
+        Window.partitionBy("_u")
+        .orderBy(*_TIMELINE[1:])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    rows = (
+        _entered(base)
+        .withColumn("_base_count", F.avg("_count").over(earlier))
+        .withColumn("_gap", hours_between(F.col("_t"), F.col("_previous")))
+        .withColumn("_amount_d", F.col("_amount").cast("double"))
+        .sortWithinPartitions(*_TIMELINE)
+        .drop("_previous", "_amount", "_at", "_kind")
+    )
+    return streamed(rows, "_u", _INPUTS)
+
+
 def _trailing(base: DataFrame, opened_at_start: bool = False) -> DataFrame:
     """Trailing sum, count, position and previous time as prefix sums over the timeline."""
     cut = sliced(_moves(base, opened_at_start), _TIMELINE)
@@ -168,6 +170,25 @@ def split_hot(base: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | No
     return base.join(hot, "_u", "left_anti"), base.join(hot, "_u")
 
 
+def _window_values() -> dict[str, Column]:
+    total = F.col("_total").cast("double")
+    return {
+        "total_amount_24h": total,
+        "txn_count_24h": F.col("_count"),
+        "avg_amount_24h": total / F.col("_count").cast("double"),
+    }
+
+
+def trailing_windows(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The three window features alone (W1-W3), without a pass through Python."""
+    prepare(df.sparkSession)
+    light, hot = split_hot(_base(df, []), hot_rows)
+    values = [value.alias(name) for name, value in _window_values().items()]
+    names = ["transaction_id", "user_id", "event_time", *values]
+    rows = _entered(light).select(*names)
+    return rows if hot is None else rows.unionByName(_trailing(hot).select(*names))
+
+
 def compute(
     df: DataFrame,
     carry: Sequence[str] = (),
@@ -183,12 +204,8 @@ def compute(
     rows = _light(light)
     if hot is not None:
         rows = rows.unionByName(_hot(hot, slice_rows or hot_rows))
-    total = F.col("_total").cast("double")
     count = F.col("_count").cast("double")
-    values: dict[str, Column] = {
-        "total_amount_24h": total,
-        "txn_count_24h": F.col("_count"),
-        "avg_amount_24h": total / count,
+    values = _window_values() | {
         "hours_since_last_txn": F.coalesce("_gap", F.lit(NO_PREVIOUS_TXN)),
         "amount_vs_user_median": safe_ratio(F.col("_amount_d"), F.col("_base_amount")),
         "count_vs_user_typical": safe_ratio(count, F.col("_base_count")),
@@ -209,18 +226,9 @@ def trailing_counts(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows of the same user in ``(t - 24h, t]``, for profiling."""
     prepare(df.sparkSession)
     light, hot = split_hot(_base(df, []), hot_rows)
-    day = Window.partitionBy("_u").orderBy("_t").rangeBetween(-DAY_MICROS + 1, 0)
-    later_peers = (
-        Window.partitionBy("_u", "_t")
-        .orderBy("transaction_id")
-        .rowsBetween(1, Window.unboundedFollowing)
-    )
     names = ["transaction_id", "user_id", "event_time", "txn_count_24h"]
-    rows = (
-        light.withColumn("_peers", F.count("_t").over(later_peers))
-        .withColumn("txn_count_24h", F.count("_t").over(day) - F.col("_peers"))
-        .select(*names)
-    )
+    rows = _entered(light, opened_at_start=True).withColumnRenamed("_count", "txn_count_24h")
+    rows = rows.select(*names)
     if hot is not None:
         counted = _trailing(hot, opened_at_start=True)
         rows = rows.unionByName(counted.withColumnRenamed("_count", "txn_count_24h").select(*names))

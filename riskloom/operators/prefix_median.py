@@ -3,8 +3,9 @@
 ``percentile`` over a growing frame sorts its whole buffer again for each row, so its cost
 is quadratic in a user's history. Two forms replace it:
 
-* :func:`streamed` keeps one sorted list per user while rows pass in time order. It fits
-  users up to the hot limit.
+* :func:`streamed` answers all rows of an Arrow batch at once by a wavelet matrix over their
+  values; only the values of the user that goes on into the next batch are kept. It fits users
+  up to the hot limit.
 * :func:`hot_medians` serves users of any size. Their rows are cut into time slices of
   ``b`` rows. A median moves by at most half a rank per row, so inside a slice it can only
   be one of the slice's own rows or one of about ``b`` earlier values around the median at
@@ -16,7 +17,6 @@ is quadratic in a user's history. Two forms replace it:
 from __future__ import annotations
 
 import copy
-from bisect import insort
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -37,38 +37,90 @@ def _with_doubles(schema: T.StructType, names) -> T.StructType:
     return wider
 
 
+def kth_smallest(ranks: np.ndarray, left: np.ndarray, right: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """For each query the ``k``-th smallest (from 0) of ``ranks[left:right]``; all at once.
+
+    A wavelet matrix: the ranks are parted stably by their top bit, then by the next one.
+    A query follows its range into the zeros or the ones, whichever hold its place, so it
+    costs one step for each bit of the largest rank.
+    """
+    found = np.zeros(len(k), np.int64)
+    for bit in range(int(ranks.max(initial=0)).bit_length() - 1, -1, -1):
+        zero = (ranks >> bit) & 1 == 0
+        zeros = np.concatenate([[0], np.cumsum(zero)])
+        a, b = zeros[left], zeros[right]
+        up = k >= b - a
+        k = np.where(up, k - (b - a), k)
+        left = np.where(up, zeros[-1] + left - a, a)
+        right = np.where(up, zeros[-1] + right - b, b)
+        found |= up.astype(np.int64) << bit
+        ranks = np.concatenate([ranks[zero], ranks[~zero]])
+    return found
+
+
+def _middles(
+    values: np.ndarray, left: np.ndarray, right: np.ndarray, size: np.ndarray, skipped: int = 0
+) -> np.ndarray:
+    """Median of ``size`` values (at least one) of which ``values[left:right]`` are those from rank ``skipped`` on."""
+    distinct, ranks = np.unique(values, return_inverse=True)
+    low = distinct[kth_smallest(ranks, left, right, (size - 1) // 2 - skipped)]
+    even = np.flatnonzero(size % 2 == 0)
+    high = kth_smallest(ranks, left[even], right[even], size[even] // 2 - skipped)
+    low[even] = (low[even] + distinct[high]) / 2
+    return low
+
+
+def prefix_medians(values: np.ndarray, starts: np.ndarray, first: int = 0) -> np.ndarray:
+    """Median of the earlier values of a row's owner, for the rows from ``first`` on.
+
+    ``starts`` holds the first row of each row's owner. NaN stands for no value.
+    """
+    present = ~np.isnan(values)
+    upto = np.concatenate([[0], np.cumsum(present)])
+    left, right = upto[starts[first:]], upto[first:-1]
+    result = np.full(len(left), np.nan)
+    asked = np.flatnonzero(right > left)
+    if len(asked):
+        left, right = left[asked], right[asked]
+        result[asked] = _middles(values[present], left, right, right - left)
+    return result
+
+
+def _doubles(column: pa.Array) -> np.ndarray:
+    return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
 def streamed(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
     """Add the prefix median of each ``columns`` input (a nullable double) under its new name.
 
-    ``df`` must hold all rows of a key in one partition, sorted by key and time.
+    ``df`` must hold all rows of a key in one partition, sorted by key and time. A batch is
+    answered as a whole; of the key that its last row belongs to, the values go on to the next.
     """
     sources, outputs = list(columns), list(columns.values())
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, seen = None, [[] for _ in sources]
+        owner, seen = None, {name: np.empty(0) for name in sources}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            keys = batch.column(key).to_pylist()
-            series = [batch.column(name).to_pylist() for name in sources]
-            medians = [[None] * len(keys) for _ in sources]
-            for row, user in enumerate(keys):
-                if user != owner:
-                    owner, seen = user, [[] for _ in sources]
-                for values, found, earlier in zip(series, medians, seen):
-                    size = len(earlier)
-                    if size:
-                        middle = size // 2
-                        found[row] = (
-                            earlier[middle]
-                            if size % 2
-                            else (earlier[middle - 1] + earlier[middle]) / 2
-                        )
-                    if values[row] is not None:
-                        insort(earlier, values[row])
+            keys = batch.column(key)
+            new = np.ones(len(keys), bool)
+            new[0] = keys[0].as_py() != owner
+            new[1:] = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+            begins = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
+            medians = []
+            for name in sources:
+                past = np.empty(0) if new[0] else seen[name]
+                starts = np.where(begins < 0, 0, begins + len(past))
+                starts = np.concatenate([np.zeros(len(past), np.int64), starts])
+                values = np.concatenate([past, _doubles(batch.column(name))])
+                found = prefix_medians(values, starts, len(past))
+                medians.append(pa.array(found, pa.float64(), from_pandas=True))
+                last = values[starts[-1] :]
+                seen[name] = last[~np.isnan(last)]
+            owner = keys[-1].as_py()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(found, pa.float64()) for found in medians]],
-                names=[*batch.schema.names, *outputs],
+                [*batch.columns, *medians], names=[*batch.schema.names, *outputs]
             )
 
     return df.mapInArrow(fill, _with_doubles(df.schema, outputs))
@@ -81,48 +133,15 @@ def medians_in_slice(
 
     ``window`` holds the sorted earlier values from rank ``skipped`` on, out of ``size``
     earlier values in all; ``values`` are the slice's own values in time order (NaN: none).
-    The slice is replayed backwards on a linked list, so each row costs a few steps.
     """
-    result = np.full(len(values), np.nan)
     present = ~np.isnan(values)
-    own = values[present]
-    pool = np.concatenate([window, own])
-    order = np.argsort(pool, kind="stable")
-    place = np.empty(len(pool), dtype=np.int64)
-    place[order] = np.arange(len(pool))
-    place_of_own = place[len(window):].tolist()
-    ranked = pool[order].tolist()
-    after = list(range(1, len(ranked) + 1))
-    before = list(range(-1, len(ranked) - 1))
-
-    remaining = len(own)
-    at, rank = 0, 0
-    for row in range(len(values) - 1, -1, -1):
-        if present[row]:
-            remaining -= 1
-            gone = place_of_own[remaining]
-            left, right = before[gone], after[gone]
-            if left >= 0:
-                after[left] = right
-            if right < len(ranked):
-                before[right] = left
-            if gone < at:
-                rank -= 1
-            elif gone == at:
-                if right < len(ranked):
-                    at = right
-                else:
-                    at, rank = left, rank - 1
-        known = size + remaining
-        if known == 0:
-            continue
-        low, high = (known - 1) // 2 - skipped, known // 2 - skipped
-        while rank < low:
-            at, rank = after[at], rank + 1
-        while rank > low:
-            at, rank = before[at], rank - 1
-        upper = ranked[at] if high == low else ranked[after[at]]
-        result[row] = (ranked[at] + upper) / 2 if high != low else ranked[at]
+    known = np.cumsum(present) - present
+    result = np.full(len(values), np.nan)
+    asked = np.flatnonzero(known + size)
+    if len(asked):
+        pool = np.concatenate([window, values[present]])
+        right = len(window) + known[asked]
+        result[asked] = _middles(pool, np.zeros_like(right), right, known[asked] + size, skipped)
     return result
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from riskloom.functions.scalar import parsed_time, truth
 from riskloom.operators import forest, merge, metrics, validate
 from riskloom.operators import normalise as norm
-from riskloom.operators.features import compute, latest_per_user, trailing_counts
+from riskloom.operators.features import compute, latest_per_user, trailing_counts, trailing_windows
 from riskloom.operators.ordered import positions, quantiles
 from riskloom.plans import evaluate, inputs, jobs, monitor, profile, scoring
 from riskloom.schema import ABSOLUTE_FEATURES, FEATURES, TRANSACTION_COLUMNS
@@ -74,6 +74,13 @@ SKEWED_TX = """tx AS (
          CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label
   FROM events)"""
 
+DENSE_TX = f"""tx AS (
+  SELECT CAST(event_id AS VARCHAR) AS transaction_id, 'busy' AS user_id,
+         TIMESTAMP '{inputs.AS_OF}' + (ts - date_trunc('day', ts)) AS event_time,
+         CAST(value AS DECIMAL(12,2)) AS amount, event_type AS txn_type,
+         CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label
+  FROM events)"""
+
 
 def features_of(rows: str, out: str) -> str:
     """CTEs that compute the seven features of CTE ``rows`` into CTE ``out``."""
@@ -261,6 +268,15 @@ def features_skewed(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(compute(rows, hot_rows=1000, slice_rows=500))
 
 
+@register(
+    "features_dense",
+    f"WITH {DENSE_TX}, {features_of('tx', 'f')} SELECT {FEATURE_LIST} FROM f",
+)
+def features_dense(spark: SparkSession, folder: str) -> DataFrame:
+    """W1-W9 with all rows in one day of one user."""
+    return rounded(compute(inputs.dense_transactions(spark, folder)))
+
+
 @register(
     "trailing_24h_half_open",
     f"""WITH {TX}
@@ -287,7 +303,7 @@ FROM last WHERE place = 1""",
 )
 def feature_store_rows(spark: SparkSession, folder: str) -> DataFrame:
     """W11 (D5)."""
-    return rounded(latest_per_user(compute(inputs.transactions(spark, folder))))
+    return rounded(latest_per_user(trailing_windows(inputs.transactions(spark, folder))))
 
 
 @register(
@@ -738,7 +754,7 @@ def upsert_feature_store(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.transactions(spark, folder)
 
     def at(part: DataFrame, when) -> DataFrame:
-        return latest_per_user(compute(part)).withColumn(
+        return latest_per_user(trailing_windows(part)).withColumn(
             "updated_at", F.lit(when).cast("timestamp_ntz")
         )
 
@@ -775,7 +791,7 @@ def keyed_feature_store(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.transactions(spark, folder)
     recent = tables.last_day(rows, inputs.AS_OF, extra=("transaction_id",))
     for part, at in ((inputs.seen(rows), inputs.SEEN_UNTIL), (recent, inputs.AS_OF)):
-        latest = latest_per_user(compute(part)).withColumn("updated_at", F.lit(at).cast("timestamp_ntz"))
+        latest = latest_per_user(trailing_windows(part)).withColumn("updated_at", F.lit(at).cast("timestamp_ntz"))
         table.merge(latest, f"until-{at:%Y%m%d}")
     return rounded(table.read().drop("user_bucket", "last_24h_avg_amount"))
 

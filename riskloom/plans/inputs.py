@@ -50,6 +50,14 @@ def skewed_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("user_id", F.when(hot, "busy").otherwise(F.col("user_id")))
 
 
+def dense_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``transactions``, all of one user and of one day."""
+    rows = transactions(spark, folder)
+    into_day = F.col("event_time") - F.date_trunc("day", F.col("event_time"))
+    day = F.lit(AS_OF).cast("timestamp_ntz")
+    return rows.withColumns({"user_id": F.lit("busy"), "event_time": (day + into_day).cast("timestamp_ntz")})
+
+
 def landing(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` as text with defects of every kind, one file per day."""
     number = F.col("event_id")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import forest
-from riskloom.operators.features import compute, latest_per_user
+from riskloom.operators.features import compute, latest_per_user, trailing_windows
 from riskloom.operators.merge import first_per_key
 from riskloom.operators.metrics import CONTAMINATION
 from riskloom.operators.normalise import loadable
@@ -199,7 +199,7 @@ def refresh_feature_store(
     prepare(spark)
     layers, now = Layers(base), now or utc_now()
     recent = last_day(raw_table(spark, layers.raw).read(), now, extra=("transaction_id",))
-    rows = latest_per_user(compute(recent)).withColumn(
+    rows = latest_per_user(trailing_windows(recent)).withColumn(
         "updated_at", F.lit(now).cast("timestamp_ntz")
     )
     return feature_store(spark, layers.feature_store).merge(rows, f"store-{now:%Y%m%d%H%M%S}")

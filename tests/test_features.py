@@ -7,9 +7,9 @@ from statistics import median
 import numpy as np
 import pytest
 
-from riskloom.operators.features import compute, latest_per_user, trailing_counts
+from riskloom.operators.features import compute, latest_per_user, trailing_counts, trailing_windows
 from riskloom.operators.merge import table_diff
-from riskloom.operators.prefix_median import medians_in_slice
+from riskloom.operators.prefix_median import medians_in_slice, prefix_medians, streamed
 from riskloom.plans import inputs
 from riskloom.schema import FEATURES
 
@@ -194,6 +194,43 @@ def test_features_use_one_exchange(spark, folder):
     assert plan.count("Sort [") == 1
 
 
+def test_windows_alone_equal_the_features_and_stay_on_the_jvm(spark, folder):
+    rows = inputs.skewed_transactions(spark, folder)
+    whole = compute(rows).select("transaction_id", *FEATURES[:3])
+    for options in ({}, {"hot_rows": 100}):
+        alone = trailing_windows(rows, **options)
+        assert "MapInArrow" not in alone._jdf.queryExecution().executedPlan().toString()
+        for row in table_diff(whole, alone, "transaction_id", FEATURES[:3], 1e-9).collect():
+            assert row["matches"], row
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_prefix_medians_match_sorted_lists(seed):
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 40, 300).astype(float)
+    values[rng.random(300) < 0.2] = np.nan
+    starts = np.maximum.accumulate(np.where(rng.random(300) < 0.05, np.arange(300), 0))
+    found = prefix_medians(values, starts)
+    for row, start in enumerate(starts):
+        earlier = [value for value in values[start:row] if not np.isnan(value)]
+        assert (np.isnan(found[row]) and not earlier) or found[row] == median(earlier)
+
+
+def test_medians_go_on_over_batches(spark):
+    rows = [(f"U{i // 37}", i, float(i * 7919 % 101) if i % 5 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "u string, i int, v double").coalesce(1).sortWithinPartitions("u", "i")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, 6)
+    try:
+        found = {row["i"]: row["m"] for row in streamed(df, "u", {"v": "m"}).collect()}
+    finally:
+        spark.conf.set(name, kept)
+    for user, i, _ in rows:
+        earlier = [v for u, j, v in rows if u == user and j < i and v is not None]
+        assert found[i] == (median(earlier) if earlier else None)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_medians_in_slice_match_sorted_lists(seed):
     rng = np.random.default_rng(seed)
