@@ -827,14 +827,34 @@ SELECT transaction_id, trim(user_id) AS user_id, t AS event_time, round(a, 2) AS
 )
 def ingest_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Daily files through the ingest stream, run twice."""
-    rows = inputs.landing(spark, folder)
+    raw = _replayed(spark, inputs.landing(spark, folder))
+    return rounded(raw.select("transaction_id", "user_id", "event_time", "amount", "label"))
+
+
+def _replayed(spark: SparkSession, rows: DataFrame) -> DataFrame:
     layers = Layers(f"{checkpoint_folder(spark)}/replay-{uuid.uuid4().hex}")
     ordered = rows.repartition("source_file").sortWithinPartitions("source_file", "row_pos")
-    ordered.drop("row_pos").write.partitionBy("source_file").option("header", True).csv(layers.landing)
+    writer = ordered.drop("row_pos").write.partitionBy("source_file").option("escape", '"')
+    writer.option("header", True).csv(layers.landing)
     for _ in range(2):
         ingest_available(spark, layers)
-    raw = tables.raw_table(spark, layers.raw).read()
-    return rounded(raw.select("transaction_id", "user_id", "event_time", "amount", "label"))
+    return tables.raw_table(spark, layers.raw).read()
+
+
+@register(
+    "ingest_line_breaks",
+    f"""WITH {CHECKED}, ok AS (SELECT * FROM checked WHERE failure_reason = ''),
+u AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY t, a) AS place FROM ok)
+SELECT transaction_id, t AS event_time, round(a, 2) AS amount, CASE WHEN row_pos % 5 = 0
+  THEN 'unit ' || row_pos || chr(10) || chr(10) || '"b", c' END AS device_id FROM u WHERE place = 1""",
+)
+def ingest_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``ingest_replay``, with line breaks, quotes and commas inside quoted cells."""
+    rows = inputs.landing(spark, folder)
+    text = F.concat(F.lit("unit "), F.col("row_pos").cast("string"), F.lit('\n\n"b", c'))
+    rows = rows.withColumn("device_id", F.when(F.col("row_pos") % 5 == 0, text))
+    raw = _replayed(spark, rows)
+    return rounded(raw.select("transaction_id", "event_time", "amount", "device_id"))
 
 
 # ------------------------------------------------------- curves, thresholds

@@ -10,6 +10,15 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def place(spark: SparkSession, path: str, encoded: bool = False) -> tuple[str, str]:
+    """Host and absolute path, the same for every spelling of a file; ``encoded``: as Spark's metadata column has it."""
+    fs, target = _fs(spark, path)
+    if encoded:
+        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path))
+    uri = fs.makeQualified(target).toUri()
+    return uri.getAuthority() or "", uri.getPath()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from riskloom.functions.scalar import without_missing_tokens
 from riskloom.schema import LANDING, RAW
 from riskloom.sources import files
+from riskloom.sources.quoted import read_quoted, with_line_breaks
 
 CORRUPT = "_corrupt"
 
@@ -52,23 +54,28 @@ def _read_group(spark: SparkSession, first_line: str, paths: list[str]) -> DataF
     if not set(names) & set(LANDING.names):
         return _read_unknown(spark, paths)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
-    rows = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(schema)
-        .csv(paths)
-    )
+    broken = with_line_breaks(spark, paths)
+    place = [F.col("_metadata.file_path").alias("source_file"), _position().alias("row_pos")]
+    parts = [read_quoted(spark, broken, schema, CORRUPT)] if broken else []
+    whole = sorted(set(paths) - set(broken))
+    if whole:
+        rows = (
+            spark.read.option("header", True)
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .schema(schema)
+            .csv(whole)
+        )
+        parts.append(rows.select(*names, CORRUPT, *place))
+    rows = reduce(DataFrame.unionByName, parts)
     kept = [
         F.col(name) if name in KEEPS_TOKENS else without_missing_tokens(F.col(name)).alias(name)
         for name in names
         if name in LANDING.names
     ]
-    return rows.select(
-        *kept, CORRUPT, F.col("_metadata.file_path").alias("source_file"), _position().alias("row_pos")
-    )
+    return rows.select(*kept, CORRUPT, "source_file", "row_pos")
 
 
 def read_landing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
