@@ -16,7 +16,8 @@ of members that no link has joined yet:
 * at most ``OPEN`` a member: the members outside the node's largest component are compared
   with all members of other components, in blocks of ``BLOCK`` members;
 * more: the node branches. In the first trees all its members are compared with one of them
-  before, a hub, which joins a group of near copies by one comparison each.
+  before, a hub, which joins a group of near copies by one comparison each; while that joins
+  little, it is tried on ever fewer levels.
 
 Below ``DEPTH`` levels all nodes are compared exhaustively. Nothing is dropped for its size: a group of
 copies of any size is one set, a group of near copies one component after its first hub.
@@ -198,6 +199,10 @@ def _linked(size: int, percent: int):
     return run
 
 
+def _open_pairs(nodes: DataFrame) -> float:
+    return nodes.agg(F.sum("open")).first()[0] or 0.0
+
+
 class Join:
     """One run of the join: the sets, what is known about their links, and the texts."""
 
@@ -276,9 +281,11 @@ class Join:
     def grow(self, trees: list[int], hubs: bool) -> None:
         """All levels of some trees; what they find is known to the next ones.
 
-        With ``hubs``, large nodes get stars for as long as these find links: later levels and
-        trees only meet what no hub has joined, and branch.
+        With ``hubs``, large nodes get stars, so that later levels and trees only meet what no
+        hub has joined, and branch. Stars that close less than a tenth of the open pairs cost
+        more than they save: the next ones wait for a level, then two, then four.
         """
+        turn, wait = 1, 1
         self.parts = parts_for(self.classes.count() * len(trees))
         candidates = self.classes.select("sid", "n", "sketch")
         level = stored(candidates.mapInArrow(_roots(trees, self.percent), _MEMBERS))
@@ -291,10 +298,13 @@ class Join:
             nodes = stored(self.open_nodes(members), self.parts)
             small = F.col("open") <= OPEN * F.col("m")
             large = nodes.where(~small)
-            if hubs and not large.isEmpty():
-                hubs = self.confirm(self.stars(members.join(large.select("node"), "node", "left_semi")))
-                members = stored(self.labelled(members.drop("label")), self.parts)
-                nodes = stored(self.open_nodes(members), self.parts)
+            if hubs and depth >= turn and not large.isEmpty():
+                before, turn = _open_pairs(nodes), depth + 1
+                if self.confirm(self.stars(members.join(large.select("node"), "node", "left_semi"))):
+                    members = stored(self.labelled(members.drop("label")), self.parts)
+                    nodes = stored(self.open_nodes(members), self.parts)
+                if _open_pairs(nodes) > 0.9 * before:
+                    turn, wait = turn + wait, 2 * wait
             if depth == DEPTH:
                 small = F.lit(True)
             if nodes.isEmpty():
