@@ -11,19 +11,37 @@ from riskloom.session import pinned
 
 
 def dataset(df: DataFrame) -> DataFrame:
-    """Rows, users, time span, distinct times and days, fraud rows and rate (A1)."""
-    rows = F.count(F.lit(1))
-    times = F.count_distinct("event_time")
-    return df.agg(
-        rows.alias("rows"),
-        F.count_distinct("user_id").alias("users"),
-        F.min("event_time").alias("first_event"),
-        F.max("event_time").alias("last_event"),
-        times.alias("distinct_times"),
-        (times / rows).alias("distinct_time_share"),
-        F.count_distinct(F.to_date("event_time")).alias("distinct_days"),
-        F.sum("label").alias("fraud_rows"),
-        F.avg(F.col("label").cast("double")).alias("fraud_rate"),
+    """Rows, users, time span, distinct times and days, fraud rows and rate (A1).
+
+    Rows are combined by time, times by day: several distinct counts in one aggregate would
+    copy every row once for each.
+    """
+    totals = {"rows": F.count(F.lit(1)), "fraud_rows": F.sum("label"), "labelled": F.count("label")}
+    by_time = df.groupBy("event_time").agg(*[value.alias(name) for name, value in totals.items()])
+    sums = [F.sum(name).alias(name) for name in totals]
+    ends = [F.min("event_time").alias("first_event"), F.max("event_time").alias("last_event")]
+    by_day = by_time.groupBy(F.to_date("event_time").alias("day")).agg(
+        *sums, *ends, F.count("event_time").alias("distinct_times")
+    )
+    whole = by_day.agg(
+        *sums,
+        F.min("first_event").alias("first_event"),
+        F.max("last_event").alias("last_event"),
+        F.sum("distinct_times").alias("distinct_times"),
+        F.count("day").alias("distinct_days"),
+    )
+    users = df.agg(F.count_distinct("user_id").alias("users"))
+    count = lambda name: F.coalesce(F.col(name), F.lit(0)).alias(name)
+    return whole.crossJoin(F.broadcast(users)).select(  # both are one row
+        count("rows"),
+        "users",
+        "first_event",
+        "last_event",
+        count("distinct_times"),
+        F.try_divide("distinct_times", "rows").alias("distinct_time_share"),
+        "distinct_days",
+        "fraud_rows",
+        F.try_divide("fraud_rows", "labelled").alias("fraud_rate"),
     )
 
 
