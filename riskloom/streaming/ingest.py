@@ -119,7 +119,8 @@ def batch_processor(
 ) -> Callable[[DataFrame, int], int]:
     """Work of one micro-batch. Every output is named by the batch, so a retry overwrites it.
 
-    ``table`` is the raw table to load into, or None to stop at the processed layer. The work
+    ``table`` is the raw table to load into, or None to stop at the processed layer; what a load
+    inserted, updated and dropped is written to ``reports/load``. The work
     returns the number of files. A batch without a row, or without a valid one, is ordinary.
     """
 
@@ -135,7 +136,9 @@ def batch_processor(
         processed = f"{layers.processed}/{name}"
         rows.write.mode("overwrite").partitionBy("event_date").parquet(processed)
         if table is not None:
-            load(table, written(spark, processed, rows.schema), f"ingest-{batch_id}", now())
+            counts = load(table, written(spark, processed, rows.schema), f"ingest-{batch_id}", now())
+            report = spark.range(1).select(*[F.lit(n).cast("long").alias(k) for k, n in counts.items()])
+            report.write.mode("overwrite").parquet(f"{layers.reports}/load/{name}")
         return len(paths)
 
     return process

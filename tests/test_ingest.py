@@ -50,6 +50,9 @@ def test_only_new_files_are_processed(spark, tmp_path):
     rows = {r["transaction_id"]: str(r["amount"]) for r in raw_table(spark, layers.raw).read().collect()}
     assert rows == {"t1": "9.00", "t3": "31.05"}
     assert processed_layer(spark, layers.processed).count() == 3
+    loads = spark.read.parquet(f"{layers.reports}/load").orderBy("batch_id").collect()
+    found = [(r["inserted"], r["updated"], r["table_rows"], r["dropped"]) for r in loads]
+    assert found == [(1, 0, 1, 0), (1, 1, 2, 0)]
 
 
 def test_no_bad_folder_without_bad_rows_and_broken_rows_are_kept(spark, tmp_path):
