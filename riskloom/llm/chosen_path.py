@@ -13,8 +13,9 @@ Only links between different components matter, so the size of a node is the num
 of members that no link has joined yet:
 
 * none: the node is closed;
-* at most ``OPEN`` a member: the members outside the node's largest component are compared
-  with all members of other components, in blocks of ``BLOCK`` members;
+* at most ``OPEN`` a member: the sketches of the members outside the node's largest component
+  are compared with those of all members of other components, in cells of two blocks of about
+  ``BLOCK`` members. That costs less a member than to branch it several times;
 * more: the node branches. In the first trees all its members are compared with one of them
   before, a hub, which joins a group of near copies by one comparison each; while that joins
   little, it is tried on ever fewer levels.
@@ -53,7 +54,7 @@ from riskloom.llm.links import connected, looked_up, parts_for
 SHINGLE, PERCENT = 4, 80
 COORDINATES = 64  # bits of a long: the coordinates a path has used
 TREES, FIRST = 12, 2
-OPEN, BLOCK, DEPTH = 32, 1024, 24
+OPEN, BLOCK, DEPTH = 512, 512, 24
 LEAST = 36  # of 64 coordinates, at a similarity of 0.8
 BROADCAST_KEYS = 500_000
 _NULL_ID = np.iinfo(np.int64).min
@@ -91,7 +92,7 @@ def _described(size: int):
     return run
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
@@ -166,6 +167,63 @@ def _alike(least: int):
     return run
 
 
+def _cell(sid, n, label, main, dealt, outer, sketch, percent: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Open pairs of a cell whose sketches agree: each member of ``outer`` with each of ``dealt``."""
+    a, b = np.flatnonzero(outer), np.flatnonzero(dealt)
+    small, large = np.minimum.outer(n[a], n[b]), np.maximum.outer(n[a], n[b])
+    wanted = (label[a][:, None] != label[b]) & (small * 100 >= large * percent)
+    wanted &= (label[b] == main) | (sid[a][:, None] < sid[b])
+    x, y = np.nonzero(wanted)
+    if len(x) * 4 < wanted.size or len(x) <= 1024:
+        kept = np.zeros(len(x), bool)
+        for start in range(0, len(x), 4096):
+            part = slice(start, start + 4096)
+            kept[part] = (sketch[a[x[part]]] == sketch[b[y[part]]]).sum(axis=1) >= least
+    else:
+        agree = np.zeros(wanted.shape, np.uint8)
+        for left, right in zip(sketch[a].T.copy(), sketch[b].T.copy()):
+            agree += left[:, None] == right
+        kept = agree[x, y] >= least
+    return sid[a[x[kept]]], sid[b[y[kept]]]
+
+
+def _compared(percent: int, least: int):
+    """Pairs (x, y) of rows (node, i, j, home_i, home_j, main, sid, n, label, sketch) sorted by cell (node, i, j)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            if held and batch.num_rows:
+                last = [held[-1].column(i)[-1].as_py() for i in range(3)]
+                if last != keys[:, 0].tolist():
+                    yield from settled(held)
+                    held = []
+            if len(ends):  # the last cell may go on in the next batch
+                yield from settled([*held, batch.slice(0, ends[-1])])
+                held, batch = [], batch.slice(ends[-1])
+            if batch.num_rows:
+                held.append(batch)
+        if held:
+            yield from settled(held)
+
+    def settled(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        node, i, j, home_i, home_j, main, sid, n, label = (rows.column(k).to_numpy() for k in range(9))
+        sketch = _matrix(rows.column(9))
+        new = (node[1:] != node[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(node)]])
+        dealt, outer, found = home_j == j, home_i == i, []
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            at = slice(start, end)
+            found.append(_cell(sid[at], n[at], label[at], main[start], dealt[at], outer[at], sketch[at], percent, least))
+        a, b = (np.concatenate(ids) for ids in zip(*found))
+        yield pa.RecordBatch.from_arrays([_long(np.minimum(a, b)), _long(np.maximum(a, b))], names=["x", "y"])
+
+    return run
+
+
 def _own_text(size: int):
     """(sid, text) of those (sid, text) whose set it is: rows may share an id."""
 
@@ -188,12 +246,16 @@ def _linked(size: int, percent: int):
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                _, first, back = np.unique(batch.column(0).to_numpy(), return_index=True, return_inverse=True)
-                left, right = sets(batch.column(2).take(pa.array(first))), sets(batch.column(3))
+                # A text is an end of many pairs: each one is cut into shingles once.
+                ends = []
+                for side in (0, 1):
+                    _, first, back = np.unique(batch.column(side).to_numpy(), return_index=True, return_inverse=True)
+                    own = sets(batch.column(side + 2).take(pa.array(first)))
+                    ends.append([own[at] for at in back])
                 kept = []
-                for a, b in zip(back, right):
-                    common = len(np.intersect1d(left[a], b, True))
-                    kept.append(100 * common >= percent * (len(left[a]) + len(b) - common))
+                for a, b in zip(*ends):
+                    common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+                    kept.append(100 * common >= percent * (len(a) + len(b) - common))
                 yield batch.select(["x", "y"]).filter(pa.array(kept, pa.bool_()))
 
     return run
@@ -208,7 +270,7 @@ class Join:
 
     def __init__(self, texts: DataFrame, classes: DataFrame, size: int, percent: int):
         self.texts, self.classes, self.size, self.percent = texts, classes, size, percent
-        self.links = self.labels = None
+        self.links = self.labels = self.tried = None
         self.parts = parts_for(classes.count())
 
     def labelled(self, members: DataFrame) -> DataFrame:
@@ -219,27 +281,41 @@ class Join:
         return members.join(known, "sid", "left").withColumn("label", F.coalesce("known", "sid")).drop("known")
 
     def open_nodes(self, labelled: DataFrame) -> DataFrame:
-        """node, members, pairs that are still open, largest component; of nodes with open pairs."""
+        """node, members, those outside the largest component, pairs still open, that component; of nodes with open pairs."""
         held = labelled.groupBy("node", "label").count()
         square = F.sum(F.col("count").cast("double") * F.col("count"))
         nodes = held.groupBy("node").agg(
             F.sum("count").alias("m"), square.alias("square"), F.max(F.struct("count", "label")).alias("main")
         )
         open_pairs = (F.col("m").cast("double") * F.col("m") - F.col("square")) / 2
-        return nodes.select("node", "m", open_pairs.alias("open"), F.col("main.label").alias("main")).where("open > 0")
+        outside = (F.col("m") - F.col("main.count")).alias("outside")
+        return nodes.select("node", "m", outside, open_pairs.alias("open"), F.col("main.label").alias("main")).where("open > 0")
 
     def _sizes(self) -> str:
         return f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {self.percent} AND x.label <> y.label"
 
     def exhaustive(self, members: DataFrame) -> DataFrame:
-        """Open pairs of small nodes: members outside the largest component with all others, block by block."""
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        dealt = members.withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
-        outside = members.where("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        outside = outside.select("node", "block", "sid", "n", "label")
-        pairs = outside.alias("x").join(dealt.alias("y"), ["node", "block"]).where(self._sizes())
-        pairs = pairs.where("y.label = y.main OR x.sid < y.sid")
-        return pairs.selectExpr("least(x.sid, y.sid) AS x", "greatest(x.sid, y.sid) AS y").distinct()
+        """Open pairs of small nodes whose sketches agree: members outside the largest component with all others.
+
+        All members are dealt into blocks j, those outside into blocks i as well; a cell (i, j)
+        holds the rows of both, so its size is bounded however large its node is.
+        """
+        blocks = {name: F.ceil(F.col(size) / BLOCK).cast("int") for name, size in (("i", "outside"), ("j", "m"))}
+        chance = F.xxhash64("sid")
+        rows = members.withColumns({f"blocks_{name}": number for name, number in blocks.items()}).withColumns(
+            {
+                "home_i": F.when(F.col("label") != F.col("main"), F.pmod(chance, "blocks_i")).otherwise(-1).cast("int"),
+                "home_j": F.pmod(chance, "blocks_j").cast("int"),
+            }
+        )
+        dealt = "transform(sequence(0, blocks_i - 1), i -> struct(i, home_j AS j))"
+        outer = "transform(filter(sequence(0, blocks_j - 1), j -> j <> home_j AND home_i >= 0), j -> struct(home_i AS i, j))"
+        rows = rows.withColumn("cell", F.explode(F.expr(f"concat({dealt}, {outer})")))
+        rows = rows.select("node", "cell.i", "cell.j", "home_i", "home_j", "main", "sid", "n", "label")
+        rows = rows.join(self.classes.select("sid", "sketch"), "sid")
+        rows = rows.select("node", "i", "j", "home_i", "home_j", "main", "sid", "n", "label", "sketch")
+        cells = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
+        return cells.mapInArrow(_compared(self.percent, LEAST), "x long, y long").distinct()
 
     def stars(self, members: DataFrame) -> DataFrame:
         """Every member with the hub of its node."""
@@ -251,18 +327,25 @@ class Join:
         spoke = spoke.select(F.struct("sid", "n", "label").alias("x"), F.col("hub").alias("y")).where(self._sizes())
         return spoke.selectExpr("least(x.sid, y.sid) AS x", "greatest(x.sid, y.sid) AS y").distinct()
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Compare pairs of different components on full sets; their links join components. Whether any linked."""
+    def confirm(self, pairs: DataFrame, compared: bool = False) -> bool:
+        """Compare pairs of different components on full sets; their links join components. Whether any linked.
+
+        ``compared``: the sketches of the pairs are known to agree.
+        """
         if self.labels is not None:
             labels = self.labels.select("node", "label")
             for end in ("x", "y"):
                 known = labels.toDF(end, f"of_{end}")
                 pairs = pairs.join(known, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
             pairs = pairs.where("of_x <> of_y").select("x", "y")
-        for end in ("x", "y"):
-            pairs = pairs.join(self.classes.selectExpr(f"sid AS {end}", f"sketch AS sketch_{end}"), end)
-        alike = pairs.select("x", "y", "sketch_x", "sketch_y").mapInArrow(_alike(LEAST), "x long, y long")
-        alike = stored(alike, self.parts)
+        if self.tried is not None:  # other trees meet the same pairs again
+            pairs = pairs.join(self.tried, ["x", "y"], "left_anti")
+        if not compared:
+            for end in ("x", "y"):
+                pairs = pairs.join(self.classes.selectExpr(f"sid AS {end}", f"sketch AS sketch_{end}"), end)
+            pairs = pairs.select("x", "y", "sketch_x", "sketch_y").mapInArrow(_alike(LEAST), "x long, y long")
+        alike = stored(pairs, self.parts)
+        self.tried = alike if self.tried is None else self.tried.union(alike)
         wanted = alike.select("x").union(alike.select("y")).distinct().toDF("sid")
         wanted = stored(wanted.join(self.classes.select("sid", "key"), "sid"), self.parts)
         if wanted.count() <= BROADCAST_KEYS:  # then the other texts need not be shuffled
@@ -318,7 +401,7 @@ class Join:
             rest = rest.join(self.classes.select("sid", "sketch"), "sid").select("node", "used", "sid", "n", "sketch")
             level = stored(rest.mapInArrow(_deeper(self.percent), _MEMBERS), self.parts)
         if pairs:
-            self.confirm(reduce(DataFrame.union, pairs).distinct())
+            self.confirm(reduce(DataFrame.union, pairs).distinct(), compared=True)
 
 
 def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
