@@ -139,7 +139,7 @@ def fit_and_score(
     nodes = pinned(drawn.groupBy("tree").applyInPandas(grow_one, NODES))
     plain = Forest(nodes, tuple(columns), sample, 0.0)
     scored = pinned(with_raw_score(df, plain, out).drop(*columns))
-    offset = float(quantiles(scored, out, {"offset": 1.0 - contamination}).first()["offset"])
+    offset = float(quantiles(scored, out, {"offset": 1.0 - contamination}, steady=True).first()["offset"])
     forest = Forest(nodes, tuple(columns), sample, offset)
     return forest, scored.withColumn(out, F.col(out) - F.lit(offset))
 

@@ -12,7 +12,6 @@ from sampling, and a recomputed sample may cut differently.
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -104,48 +103,128 @@ def positions(df: DataFrame, order: Order, out: str = "position") -> DataFrame:
     return running(cut, [], order, sums={out: one}).drop(one, SLICE)
 
 
+# Bins of a selection round, rounds before the rest is sorted, and the longest list of cells to broadcast.
+BINS, ROUNDS = 1 << 14, 2
+BROADCAST_CELLS = 100_000
+
+
+def _bin() -> Column:
+    """Number of the bin of ``_v`` within its cell: never falls as the value grows.
+
+    Each step of the formula is monotone in double arithmetic, which is all that selection
+    needs. The ends have bins of their own, so infinities and NaN leave after one round.
+    """
+    v, low, high = F.col("_v"), F.col("_low"), F.col("_high")
+    width = high - low
+    inside = F.floor((v - low) / width * BINS)
+    finite = (width > 0) & (width < float("inf"))
+    return (
+        F.when(v <= low, 0)
+        .when(v >= high, BINS + 2)
+        .when(finite, F.least(F.greatest(inside, F.lit(0)), F.lit(BINS)) + 1)
+        .otherwise(1)
+    )
+
+
+def _in_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows with the cell they fall into; the cells of a group don't overlap."""
+    if cells.count() <= BROADCAST_CELLS:
+        cells = F.broadcast(cells)
+    within = (F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high"))
+    matched = (F.col("_g") == F.col("_of")) & within
+    return rows.join(cells.withColumnRenamed("_g", "_of"), matched).drop("_of")
+
+
+def _held_ranks() -> Column:
+    """Wanted ranks among the ``_n`` rows that end at the running count ``_end``."""
+    begin = F.col("_before") + F.col("_end") - F.col("_n")
+    return F.filter("_ranks", lambda rank: (rank >= begin) & (rank < begin + F.col("_n")))
+
+
+def _narrower(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """The bins of ``cells`` that hold a wanted rank, as the cells of the next round."""
+    binned = _in_cells(rows, cells).groupBy("_g", "_size", "_ranks", "_before", "_low", _bin().alias("_bin"))
+    bins = binned.agg(F.sum("_n").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    # At most BINS + 3 rows a cell.
+    upto = Window.partitionBy("_g", "_low").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    held = bins.withColumn("_end", F.sum("_n").over(upto)).withColumn("_held", _held_ranks()).where(F.size("_held") > 0)
+    return held.select(
+        "_g",
+        "_size",
+        F.col("_held").alias("_ranks"),
+        (F.col("_before") + F.col("_end") - F.col("_n")).alias("_before"),
+        F.col("_least").alias("_low"),
+        F.col("_most").alias("_high"),
+    )
+
+
+def _sorted_out(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """As :func:`_narrower` down to single values, by sorting the rows of the cells."""
+    known = ["_g", "_size", "_ranks", "_before", "_low"]
+    counts = _in_cells(rows, cells).groupBy(*known, "_v").agg(F.sum("_n").alias("_n"))
+    ends = running(sliced(counts, ["_g", "_low", "_v"]), ["_g", "_low"], ["_v"], {"_end": "_n"})
+    held = ends.withColumn("_held", _held_ranks()).where(F.size("_held") > 0)
+    return held.select("_g", "_size", F.col("_held").alias("_ranks"), F.col("_v").alias("_low"))
+
+
 def quantiles(
     df: DataFrame,
     value: str,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
     weight: str | None = None,
+    steady: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
-    ``percentile`` would keep all distinct values of a group in one aggregation buffer.
-    Counting equal values first and accumulating the counts finds the two neighbours of
-    each rank with no such buffer. ``probabilities`` maps output column to probability;
-    ``weight`` names a column with the number of rows that a row stands for.
+    ``percentile`` would keep all distinct values of a group in one aggregation buffer. Here
+    the wanted ranks are selected: a histogram between least and greatest value shows which
+    bins hold them, a second one looks into those bins only, and what two histograms can't
+    tell apart is sorted. Each histogram combines before its shuffle, so a group of any size
+    is no burden and no pass orders all rows.
+
+    ``probabilities`` maps output column to probability; ``weight`` names a column with the
+    number of rows that a row stands for. Passes must agree: unless ``df`` is ``steady``
+    (files, or written before), key, value and weight are written once.
     """
     by = list(by)
-    copies = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(copies.alias("_n"))
-    cut = sliced(counts, [*by, value])
-    sizes = cut.groupBy(*by).agg(F.sum("_n").alias("_size"))
-
-    def with_size(rows: DataFrame) -> DataFrame:
-        # One row in total, or one row per group.
-        return rows.join(sizes, by) if by else rows.crossJoin(F.broadcast(sizes))
-
+    copies = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    rows = df.where(F.col(value).isNotNull())
+    rows = rows.select(group.alias("_g"), F.col(value).cast("double").alias("_v"), copies.alias("_n"))
+    rows = rows if steady else pinned(rows)
     spots = {
         name: F.lit(float(probability)) * (F.col("_size") - 1)
         for name, probability in probabilities.items()
     }
-    # Only slices that hold a wanted rank are sorted.
-    first, end = F.col("_off__end"), F.col("_off__end") + F.col("_sum__end")
-    holds = [
-        (rank(spot) >= first) & (rank(spot) < end)
-        for spot in spots.values()
-        for rank in (F.floor, F.ceil)
-    ]
-    offsets = with_size(slice_offsets(cut, by, {"_end": "_n"}))
-    offsets = offsets.where(reduce(operator.or_, holds)).drop("_size")
-    ranked = with_size(running(cut, by, [value], {"_end": "_n"}, offsets=offsets))
+    ranks = [rank(spot).cast("long") for spot in spots.values() for rank in (F.floor, F.ceil)]
+    spans = rows.groupBy("_g").agg(
+        F.sum("_n").alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    )
+    cells = pinned(
+        spans.select(
+            "_g",
+            "_size",
+            F.array_distinct(F.array(*ranks)).alias("_ranks"),
+            F.lit(0).cast("long").alias("_before"),
+            "_low",
+            "_high",
+        )
+    )
+    known = ["_g", "_size", "_ranks", "_low"]
+    found = [cells.where("_low = _high").select(*known)]
+    rest = cells.where("_low < _high")
+    for _ in range(ROUNDS):
+        if rest.isEmpty():
+            break
+        cells = pinned(_narrower(rows, rest))
+        found.append(cells.where("_low = _high").select(*known))
+        rest = cells.where("_low < _high")
+    if not rest.isEmpty():
+        found.append(_sorted_out(rows, rest).select(*known))
 
     def at(rank: Column) -> Column:
-        inside = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
-        return F.max(F.when(inside, F.col(value).cast("double")))
+        return F.max(F.when(F.array_contains("_ranks", rank.cast("long")), F.col("_low")))
 
     picks = []
     for name, spot in spots.items():
@@ -154,9 +233,9 @@ def quantiles(
             at(F.ceil(spot)).alias(f"_high_{name}"),
             F.max(spot - F.floor(spot)).alias(f"_part_{name}"),
         ]
-    found = ranked.groupBy(*by).agg(*picks)
-    return found.select(
-        *by,
+    picked = reduce(DataFrame.unionByName, found).groupBy(*["_g"] * bool(by)).agg(*picks)
+    return picked.select(
+        *[F.col("_g")[name].alias(name) for name in by],
         *[
             (
                 F.col(f"_low_{name}")

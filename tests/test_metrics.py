@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskloom.operators import metrics
+from riskloom.operators import metrics, ordered
 from riskloom.operators.ordered import SLICE, positions, quantiles, running, sliced
 from riskloom.plans import inputs
 
@@ -13,37 +13,29 @@ def ranking(spark, labels, scores, model="m"):
     return spark.createDataFrame(rows, "model string, transaction_id string, label int, score double")
 
 
-def test_no_positives_no_threshold(spark):
-    rng = np.random.default_rng(0)
-    rows = ranking(spark, np.zeros(50), rng.random(50))
-    assert metrics.best_f1(metrics.curve(rows)).count() == 0
+def test_threshold_needs_a_positive(spark):
+    quiet = ranking(spark, [0, 0, 0], [0.7, 0.2, 0.2], "quiet")
+    busy = ranking(spark, [0, 1, 0], [0.7, 0.2, 0.2], "busy")
+    found = metrics.best_f1(metrics.curve(quiet.union(busy))).collect()
+    assert [row["model"] for row in found] == ["busy"]
 
 
-def test_separable_scores(spark):
-    rows = ranking(spark, [0] * 90 + [1] * 10, [0.1] * 90 + [0.9] * 10)
+def test_best_threshold_of_a_ranking_by_hand(spark):
+    """Cuts after 1, 2, 4 and 5 rows catch 1, 1, 3 and 3 of 3: F1 1/2, 2/5, 6/7 and 3/4."""
+    rows = ranking(spark, [1, 0, 1, 1, 0], [9.0, 8.0, 5.0, 5.0, -1.0])
     best = metrics.best_f1(metrics.curve(rows)).first()
-    assert best["precision"] == best["recall"] == best["f1"] == 1
-    assert 0.1 < best["threshold"] <= 0.9
+    assert (best["threshold"], best["recall"], best["precision"]) == (5.0, 1.0, 0.75)
+    assert best["f1"] == pytest.approx(6 / 7)
+    applied = metrics.metrics_at(rows, metrics.best_f1(metrics.curve(rows))).first()
+    assert (applied["flagged"], applied["recall"], applied["precision"]) == (4, 1.0, 0.75)
 
 
-def test_reported_point_is_the_applied_point(spark):
-    rng = np.random.default_rng(1)
-    labels = (rng.random(400) < 0.05).astype(int)
-    rows = ranking(spark, labels, rng.random(400) + 0.4 * labels)
-    best = metrics.best_f1(metrics.curve(rows))
-    applied = metrics.metrics_at(rows, best).first()
-    chosen = best.first()
-    assert applied["precision"] == pytest.approx(chosen["precision"], abs=1e-9)
-    assert applied["recall"] == pytest.approx(chosen["recall"], abs=1e-9)
-
-
-@pytest.mark.parametrize("rate", [0.001, 0.01, 0.05])
-def test_alert_rate_is_met(spark, rate):
-    scores = np.random.default_rng(2).random(10_000)
-    rows = ranking(spark, np.zeros(10_000), scores)
-    cut = metrics.alert_rate_thresholds(rows, {"cut": rate}).first()["cut"]
-    assert cut == pytest.approx(np.quantile(scores, 1 - rate), abs=1e-12)
-    assert abs((scores >= cut).mean() - rate) < 0.002
+def test_alert_rates_of_two_models_at_once(spark):
+    steps = [float(i) for i in range(201)]
+    rows = ranking(spark, [0] * 201, steps, "up").union(ranking(spark, [0] * 201, [-s for s in steps], "down"))
+    found = metrics.alert_rate_thresholds(rows, {"tenth": 0.1, "odd": 0.0125})
+    cuts = {row["model"]: (row["tenth"], row["odd"]) for row in found.collect()}
+    assert cuts["up"] == pytest.approx((180.0, 197.5)) and cuts["down"] == pytest.approx((-20.0, -2.5))
 
 
 def test_zero_denominators_give_zero(spark):
@@ -115,3 +107,46 @@ def test_quantiles_match_numpy(spark):
     found = quantiles(rows, "v", wanted).first()
     for name, p in wanted.items():
         assert found[name] == pytest.approx(np.quantile(values, p), abs=1e-12)
+
+
+WANTED = {"low": 0.0, "q": 0.123, "half": 0.5, "most": 0.999, "high": 1.0}
+
+
+@pytest.mark.parametrize("rounds, bins", [(2, 1 << 14), (1, 4), (0, 4)])
+def test_selected_quantiles_of_groups(spark, monkeypatch, rounds, bins):
+    """Ties, one value that most rows have, both signs, a range of 600 decades, a null group."""
+    monkeypatch.setattr(ordered, "ROUNDS", rounds)
+    monkeypatch.setattr(ordered, "BINS", bins)
+    rng = np.random.default_rng(8)
+    groups = {
+        "ties": rng.integers(-3, 4, 400) / 4,
+        "one": np.where(rng.random(500) < 0.9, 7.5, rng.normal(size=500)),
+        "wide": 10.0 ** rng.uniform(-300, 300, 300) * rng.choice([-1, 1], 300),
+        "single": np.array([3.25]),
+        None: rng.normal(size=50),
+    }
+    rows = [(name, float(v)) for name, values in groups.items() for v in values] + [("ties", None)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    expected = {name: [float(np.quantile(v, p)) for p in WANTED.values()] for name, v in groups.items()}
+    counted = frame.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    for found in (quantiles(frame, "v", WANTED, ["g"]), quantiles(counted, "v", WANTED, ["g"], "n", steady=True)):
+        got = {row["g"]: [row[name] for name in WANTED] for row in found.collect()}
+        assert got.keys() == expected.keys()
+        for name in expected:
+            assert got[name] == pytest.approx(expected[name], rel=1e-12), name
+
+
+def test_selected_quantiles_of_odd_values(spark):
+    values = [float("-inf"), -1.0, 0.0, -0.0, 2.0, float("inf"), float("nan")]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    found = quantiles(frame, "v", {"second": 1 / 6, "middle": 0.5}).first()
+    assert (found["second"], found["middle"]) == (-1.0, 0.0)
+    nothing = quantiles(frame.where("v > 5 AND v < 6"), "v", {"half": 0.5}).collect()
+    assert [row["half"] for row in nothing] == [None]
+
+
+def test_selection_never_orders_all_rows(spark, folder, capsys):
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet")
+    found = quantiles(rows, "l_extendedprice", WANTED, ["l_returnflag"], steady=True)
+    found.explain()
+    assert "rangepartitioning" not in capsys.readouterr().out
