@@ -16,9 +16,11 @@ of members that no link has joined yet:
 * at most ``OPEN`` a member: the sketches of the members outside the node's largest component
   are compared with those of all members of other components, in cells of two blocks of about
   ``BLOCK`` members. That costs less a member than to branch it several times;
-* more: the node branches. In the first trees all its members are compared with one of them
-  before, a hub, which joins a group of near copies by one comparison each; while that joins
-  little, it is tried on ever fewer levels.
+* more: the node branches.
+
+In the first trees all members of a node with over ``STAR`` open pairs a member are compared with
+one of them before that, a hub, which joins a group of near copies by one comparison each and
+leaves few pairs of it to compare; while that joins little, it is tried on ever fewer levels.
 
 Below ``DEPTH`` levels all nodes are compared exhaustively. Nothing is dropped for its size: a group of
 copies of any size is one set, a group of near copies one component after its first hub.
@@ -54,7 +56,7 @@ from riskloom.llm.links import connected, looked_up, parts_for
 SHINGLE, PERCENT = 4, 80
 COORDINATES = 64  # bits of a long: the coordinates a path has used
 TREES, FIRST = 12, 2
-OPEN, BLOCK, DEPTH = 512, 512, 24
+STAR, OPEN, BLOCK, DEPTH = 16, 64, 512, 24
 LEAST = 36  # of 64 coordinates, at a similarity of 0.8
 BROADCAST_KEYS = 500_000
 _NULL_ID = np.iinfo(np.int64).min
@@ -364,7 +366,7 @@ class Join:
     def grow(self, trees: list[int], hubs: bool) -> None:
         """All levels of some trees; what they find is known to the next ones.
 
-        With ``hubs``, large nodes get stars, so that later levels and trees only meet what no
+        With ``hubs``, nodes with over STAR open pairs a member get stars, so that later levels and trees only meet what no
         hub has joined, and branch. Stars that close less than a tenth of the open pairs cost
         more than they save: the next ones wait for a level, then two, then four.
         """
@@ -380,7 +382,7 @@ class Join:
             members = stored(shown.join(mixed.select("node"), "node", "left_semi"), self.parts)
             nodes = stored(self.open_nodes(members), self.parts)
             small = F.col("open") <= OPEN * F.col("m")
-            large = nodes.where(~small)
+            large = nodes.where(F.col("open") > STAR * F.col("m"))
             if hubs and depth >= turn and not large.isEmpty():
                 before, turn = _open_pairs(nodes), depth + 1
                 if self.confirm(self.stars(members.join(large.select("node"), "node", "left_semi"))):

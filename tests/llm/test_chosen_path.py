@@ -90,6 +90,7 @@ def edited(rng, words, share):
 def test_groups_of_near_copies(spark, monkeypatch, small):
     """Chains of edits, a large group around one text, and texts that share long passages."""
     if small:  # nearly all nodes have to branch or get a hub
+        monkeypatch.setattr(chosen_path, "STAR", 0.4)
         monkeypatch.setattr(chosen_path, "OPEN", 0.4)
         monkeypatch.setattr(chosen_path, "BLOCK", 2)
         monkeypatch.setattr(chosen_path, "DEPTH", 2)
