@@ -15,8 +15,8 @@ The model is one row of ``WIDTH`` numbers per machine: one per family and one pe
 languages of a family. A family's machine sees the samples of all labels in one task.
 
 Documents are recognised if they have a letter and score at least as much as all but the
-``REJECTED`` share of labelled documents that took no part in training (at most PER_LANGUAGE of
-each label). If nothing could be learned or no such document is there, a letter is enough.
+``REJECTED`` share of all labelled documents that are held out: each of them is scored, and the
+rank is selected exactly. If nothing could be learned or no such document is there, a letter is enough.
 
 Edge cases. A text that is null or has no letter is ``und`` with score 0, as is every text if no
 label could be learned. Null labels aren't learned from. Repeated rows are predicted each.
@@ -25,6 +25,7 @@ Texts are read whole. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ from pyspark.sql.types import StructType
 from riskloom.llm.common import fold, small_batches, table, utf8
 from riskloom.llm.features import FOLDED, WIDTH, counts, unit
 from riskloom.llm.hashing import row_slices
+from riskloom.operators.ordered import quantiles
 from riskloom.session import pinned
 
 PER_LANGUAGE = 500
@@ -216,13 +218,18 @@ def identify(documents: DataFrame, model: tuple) -> DataFrame:
 
 
 def least_score(documents: DataFrame, model: tuple) -> float:
-    """The score below which a language can't be told, from documents that the machines haven't seen."""
+    """The score below which a language can't be told: exact, from all labelled documents that are held out."""
     if not model[1]:
         return 0.0
-    unseen = sample(documents.where("lang IS NOT NULL AND text IS NOT NULL AND held_out"))
-    rows = identify(unseen.select("doc_id", "text", "held_out"), model).where(F.col("lang_pred") != UNKNOWN)
-    scores = np.sort([row.score for row in rows.select("score").collect()])  # as many as a sample has
-    return float(scores[int(REJECTED * len(scores))]) if len(scores) else 0.0
+    unseen = documents.where("lang IS NOT NULL AND text IS NOT NULL AND held_out")
+    scores = pinned(identify(unseen, model).where(F.col("lang_pred") != UNKNOWN).select("score"))
+    rows = scores.count()
+    if rows < 2:
+        return float(scores.first().score) if rows else 0.0
+    # The share whose product with rows - 1 is the wanted rank, so that nothing is interpolated.
+    place, last = int(REJECTED * rows), rows - 1
+    share = min((math.nextafter(place / last, to) for to in (place / last, 0, 1)), key=lambda p: abs(p * last - place))
+    return float(quantiles(scores, "score", {"least": share}, steady=True).first().least)
 
 
 def recognised(documents: DataFrame) -> DataFrame:
