@@ -1,4 +1,4 @@
-"""Supervised models on the feature table: MLlib fits and walk-forward scores (M5-M7, M9)."""
+"""Supervised models on the feature table: fits and walk-forward scores (M5-M7, M9)."""
 
 from __future__ import annotations
 
@@ -6,13 +6,15 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators import random_forest
 from riskloom.operators.metrics import FOLDS, balanced_weights
+from riskloom.operators.random_forest import RandomForest
 
 LOGISTIC = "logistic"
 RANDOM_FOREST = "random_forest"
@@ -23,8 +25,7 @@ TOLERANCE = 1e-4
 FOREST_TREES = 100
 FOREST_DEPTH = 30
 
-# MLlib bags rows per partition, so the same rows must always be dealt alike: into a number of
-# partitions that depends on the rows only, not on the machine or the session.
+# The rows of a forest are dealt into a number of partitions that depends on them only.
 FOREST_PARTITIONS = 8
 FOREST_ROWS = 50_000  # a partition above FOREST_PARTITIONS of them
 
@@ -33,36 +34,20 @@ def forest_partitions(rows: int) -> int:
     return max(FOREST_PARTITIONS, -(-rows // FOREST_ROWS))
 
 
-def _pipeline(
-    kind: str, columns: Sequence[str], rows: int, seed: int, trees: int, depth: int
-) -> Pipeline:
+def _pipeline(columns: Sequence[str], rows: int) -> Pipeline:
     inputs = VectorAssembler(inputCols=list(columns), outputCol="_vector")
-    if kind == LOGISTIC:
-        scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True)
-        # Balanced weights add up to the number of rows: a unit penalty is 1 / rows here.
-        model = LogisticRegression(
-            featuresCol="_scaled",
-            labelCol="label",
-            weightCol="weight",
-            maxIter=MAX_ITERATIONS,
-            tol=TOLERANCE,
-            regParam=1.0 / rows,
-            standardization=False,
-        )
-        return Pipeline(stages=[inputs, scaler, model])
-    model = RandomForestClassifier(
-        featuresCol="_vector",
+    scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True)
+    # Balanced weights add up to the number of rows: a unit penalty is 1 / rows here.
+    model = LogisticRegression(
+        featuresCol="_scaled",
         labelCol="label",
         weightCol="weight",
-        numTrees=trees,
-        maxDepth=depth,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        # Deep trees: rows keep their node, so the grown trees are not sent to every task.
-        cacheNodeIds=True,
-        maxMemoryInMB=1024,
+        maxIter=MAX_ITERATIONS,
+        tol=TOLERANCE,
+        regParam=1.0 / rows,
+        standardization=False,
     )
-    return Pipeline(stages=[inputs, model])
+    return Pipeline(stages=[inputs, scaler, model])
 
 
 def fit(
@@ -72,21 +57,27 @@ def fit(
     seed: int = 42,
     trees: int = FOREST_TREES,
     depth: int = FOREST_DEPTH,
-) -> PipelineModel | None:
+) -> PipelineModel | RandomForest | None:
     """Fit with balanced class weights; None where the rows hold a single class."""
     classes = train.groupBy("label").count().collect()  # one row per class
     if len(classes) < 2:
         return None
     rows = sum(row["count"] for row in classes)
     keys = [name for name in ("transaction_id",) if name in train.columns]
-    weighted = balanced_weights(train.select(*keys, "label", *columns).fillna(0.0, list(columns)))
+    filled = train.select(*keys, "label", *columns).fillna(0.0, list(columns))
     if kind == RANDOM_FOREST:
-        keys += ["label", *columns]  # rows with all of these equal can change places
-        weighted = weighted.repartition(forest_partitions(rows), *keys).sortWithinPartitions(*keys)
-    return _pipeline(kind, columns, rows, seed, trees, depth).fit(weighted)
+        held = {row["label"]: row["count"] for row in classes}
+        weights = [rows / (2.0 * held[label]) if held.get(label) else 1.0 for label in (0, 1)]
+        known = filled.where("label IS NOT NULL")
+        return random_forest.fit(known, columns, keys, weights, forest_partitions(rows), trees, depth, seed)
+    return _pipeline(columns, rows).fit(balanced_weights(filled))
 
 
-def probability(model: PipelineModel, df: DataFrame, columns: Sequence[str], out: str = "score") -> DataFrame:
+def probability(
+    model: PipelineModel | RandomForest, df: DataFrame, columns: Sequence[str], out: str = "score"
+) -> DataFrame:
+    if isinstance(model, RandomForest):
+        return random_forest.probability(model, df, out)
     scored = model.transform(df.fillna(0.0, list(columns)))
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
