@@ -1,10 +1,12 @@
 """Byte-level BPE: whole texts to token ids and back, in Arrow batches.
 
-Encoding uses the tokenizers library. A text is cut at every space that stands before a
+Ids are those of the tokenizers library. A text is cut at every space that stands before a
 character other than white space; such a space always begins a piece of the split pattern, so
 the parts can be encoded apart and their ids joined. Arrow splits and numbers the words of a batch,
-so each different one is looked up once and the ids of the texts are gathered from a table; texts
-with spaces that are no cut are split one by one. Each worker keeps the ids of words seen lately (at
+so each different one is encoded once and the ids of the texts are gathered from a table. Words of Latin-1 characters after a
+space are encoded as one text by tiktoken, which gives the same ids in less time if the
+vocabulary is in the order of its merges (checked when it is loaded); all others go to tokenizers, whose Unicode tables may be
+of another version. Texts with spaces that are no cut are split one by one. Each worker keeps the ids of the other words seen lately (at
 most about ``CACHE_BYTES``) and gives only new ones to the library, all of a batch at once. The library turns bytes into printable characters;
 ``byte_table`` reverses that, which gives the bytes of every id. Decoding joins those bytes, so
 a character that is split over several tokens comes back whole, and the character offsets of
@@ -28,6 +30,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
@@ -36,6 +39,7 @@ from tokenizers import Tokenizer
 from riskloom.llm.common import free_name, table
 
 CACHE_BYTES = 96 << 20
+LONGEST = 200  # bytes of a word for tiktoken
 GROUP = 512  # texts whose words are numbered together
 _CUT = re.compile(r" (?=\S)")
 # A space that is no cut: the last character, or before white space. \s of the Arrow library is ASCII only.
@@ -57,7 +61,8 @@ class Codec:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            model = json.load(file)["model"]
+        vocabulary = model["vocab"]
         table = byte_table()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,6 +72,15 @@ class Codec:
             if all(c in table for c in token):
                 self.bytes_of[number] = bytes(table[c] for c in token)
         self.sizes = np.array([len(piece) for piece in self.bytes_of], np.int64)
+        # With ids in the order of merges both libraries merge alike, and tiktoken does it in less time.
+        merges = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        made = [vocabulary[a + b] for a, b in merges]
+        self.quick = None
+        if made == sorted(set(made)) and set(vocabulary) == {a + b for a, b in merges} | set(table):
+            ranks = dict(zip(self.bytes_of, range(len(self.bytes_of))))
+            self.quick = tiktoken.Encoding(
+                "quick", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            ).encode_ordinary
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.held = 0
@@ -87,7 +101,7 @@ class Codec:
         for start in range(0, len(spaced), 20_000):
             some = spaced[start : start + 20_000]
             text = "".join(some)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self._slow(text), "<u4")
             sizes = [len(part) for part in some] if text.isascii() else [len(part.encode()) for part in some]
             bounds = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes)) + 1
             flat, first = ids.tobytes(), 0
@@ -98,6 +112,26 @@ class Codec:
         for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self._keep(part, np.array(found.ids, "<u4").tobytes())
 
+    def _slow(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _plain(self, words: pa.Array) -> np.ndarray:
+        """Which words tiktoken may encode."""
+        if not self.quick:
+            return np.zeros(len(words), bool)
+        latin = pc.invert(pc.match_substring_regex(words, r"[^\x{00}-\x{ff}]"))
+        short = pc.less_equal(pc.binary_length(words), LONGEST)
+        return pc.and_(latin, short).to_numpy(zero_copy_only=False)
+
+    def _at_once(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each with a space before it, one after the other, and how many each has."""
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        ids = np.array(self.quick(" " + " ".join(words.to_numpy(zero_copy_only=False))), "<u4")
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64) + 1
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes)) + 1
+        return ids, np.diff(ends, prepend=0)
+
     def _keep(self, part: str, ids: bytes) -> None:
         self.known[part] = ids
         self.held += 200 + 2 * len(part) + len(ids)
@@ -134,17 +168,23 @@ class Codec:
         code[edges[:-1] - edges[0]] -= 1
         present = np.zeros(2 * len(coded.dictionary), bool)
         present[code] = True
-        own, spaced = coded.dictionary.to_pylist(), np.flatnonzero(present)
-        parts = [" " + own[i >> 1] if i & 1 else own[i >> 1] for i in spaced.tolist()]
-        self._learn(set(parts))
-        found = [self.known[part] for part in parts]
-        table = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+        parts = np.flatnonzero(present)
+        quick = (parts & 1 == 1) & self._plain(coded.dictionary)[parts >> 1]
+        flat, quick_sizes = self._at_once(coded.dictionary.take(pa.array(parts[quick] >> 1)))
+        others = parts[~quick]
+        own = coded.dictionary.take(pa.array(others >> 1)).to_pylist()
+        own = [" " + word if part & 1 else word for word, part in zip(own, others.tolist())]
+        self._learn(set(own))
+        found = [self.known[part] for part in own]
+        table = np.concatenate([flat, np.frombuffer(b"".join(found), "<u4")])
+        sizes, starts = np.zeros((2, len(parts)), np.int64)
+        sizes[quick], sizes[~quick] = quick_sizes, [len(ids) // 4 for ids in found]
+        for some, first in ((quick, 0), (~quick, len(flat))):
+            starts[some] = np.cumsum(sizes[some]) - sizes[some] + first
         row = (np.cumsum(present) - 1)[code]
         lengths = sizes[row]
         ends = np.cumsum(lengths)
-        starts = (np.cumsum(sizes) - sizes)[row]
-        shift = np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
+        shift = np.repeat((starts[row] - (ends - lengths)).astype(np.int32), lengths)
         ids = table[np.arange(len(shift), dtype=np.int32) + shift]
         bounds = np.concatenate([[0], ends])[edges - edges[0]].tolist()
         for a, b in zip(bounds[:-1], bounds[1:]):
