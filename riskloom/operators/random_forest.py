@@ -5,10 +5,11 @@ weight in a tree is a Poisson(1) draw by the hash of the row and the tree, so a
 rows and seed only. Nodes of over ``LOCAL`` rows are split level by level: tasks count the classes
 of every bin, the counts are added by node, and the driver learns the chosen splits. The rows below
 such a node are then dealt by (tree, node) and each group, of at most about ``LOCAL`` rows, grows
-its subtree a level at a time. Both ways choose the same splits, as counts are whole numbers.
+its subtree (see :mod:`growth`). Both ways choose the same splits, as counts are whole numbers.
 
 Subtrees stay a table in the shared folder, since their size grows with the rows. Rows that are scored are
-dealt to the subtrees in the same way, and the shares of all trees are added in the order of trees.
+dealt to the subtrees too: once for each ``BUNDLE`` of trees that are a subtree each, else by (tree, node).
+Shares are multiples of ``1 / UNIT``, so that their sums are exact and do not depend on the order.
 
 A node draws sqrt(features), rounded up, of those that differ among its rows, and takes the split of
 least Gini impurity, ties to the first one drawn and the smallest bin. A node of one class, of
@@ -26,128 +27,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators import growth
+from riskloom.operators.growth import BINS, GOLDEN, drawn, joined, leaves, mix, pack, seen_in
+from riskloom.operators.growth import children_keys as _children
 from riskloom.operators.ordered import running, sliced
 from riskloom.session import pinned
 
-BINS = 32
-LOCAL = 500_000
+LOCAL = 6_000_000  # 8 bytes each with up to seven features
 OPEN_NODES = 4096  # whose counts a task holds at once: below 4 kB each with seven features
-_POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(15)])  # weights of 0 to 15
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-_DEALT = "node int, chunk long, place binary, x binary"
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _children(keys: np.ndarray) -> np.ndarray:
-    """Keys of both children of each node, in turn."""
-    return _mix(keys[:, None] + np.array([1, 2], np.uint64) * _GOLDEN).ravel()
-
-
-def drawn(keys: np.ndarray, constant: np.ndarray) -> np.ndarray:
-    """Features that each node may split by, in the order drawn; -1 where too few differ."""
-    width = constant.shape[1]
-    chance = _mix(keys[:, None] ^ (np.arange(3, width + 3, dtype=np.uint64) * _GOLDEN)) >> np.uint64(1)
-    chance[constant] = np.uint64(2**64 - 1)
-    picked = np.argsort(chance, axis=1, kind="stable")[:, : math.ceil(math.sqrt(width))]
-    return np.where(np.take_along_axis(constant, picked, 1), -1, picked)
-
-
-def best(group: np.ndarray, bins: np.ndarray, counts: np.ndarray, k: int, weights) -> np.ndarray:
-    """Index of the cell after which each node is cut, of cells sorted by group (node * k + turn) and bin.
-
-    ``counts`` has the rows of both classes in each cell; every group has two cells at least.
-    """
-    upto = np.cumsum(counts, axis=1)
-    last = np.append(group[1:] != group[:-1], True)
-    ends = upto[:, last]
-    before = np.concatenate([np.zeros((2, 1), np.int64), ends[:, :-1]], 1)
-    own = np.cumsum(last) - last
-    left = (upto - before[:, own]) * np.array(weights)[:, None]
-    right = (ends[:, own] - upto) * np.array(weights)[:, None]
-    with np.errstate(invalid="ignore"):
-        cost = left[0] * left[1] / left.sum(0) + right[0] * right[1] / right.sum(0)
-    cost[last] = np.inf
-    node = group // k
-    first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-    least = np.repeat(np.minimum.reduceat(cost, first), np.diff(np.append(first, len(node))))
-    at = np.flatnonzero(cost == least)
-    return at[np.append(True, node[at][1:] != node[at][:-1])]
+BUNDLE = 4
+UNIT = 2.0**42  # sums of up to 2,048 shares are exact
+# Least 53-bit draws that give weights of 1 to 15.
+_POISSON = [math.ceil(p * 2**53) for p in np.cumsum([math.exp(-1) / math.factorial(k) for k in range(15)])]
 
 
 def grow(x: np.ndarray, seen: np.ndarray, key: int, levels: int, weights) -> tuple[np.ndarray, ...]:
     """Feature (-1: leaf), bin, left child and share of class 1 of every node below one.
 
-    ``x`` has a line of bins per feature, ``seen`` is 16 * class + weight of each row. The right
-    child follows the left one.
+    ``x`` has a line of bins per feature, ``seen`` is 16 * class + weight of each row.
     """
-    k = math.ceil(math.sqrt(len(x)))
-    keys, sizes, made, out = np.array([key], np.uint64), np.array([len(seen)]), 1, []
-    for level in range(levels + 1):
-        starts = np.cumsum(sizes) - sizes
-        rows = np.add.reduceat((seen & 15).astype(np.int64), starts)
-        ones = np.add.reduceat(np.where(seen > 15, seen & 15, 0).astype(np.int64), starts)
-        share = weights[1] * ones / (weights[1] * ones + weights[0] * (rows - ones))
-        constant = (np.minimum.reduceat(x, starts, 1) == np.maximum.reduceat(x, starts, 1)).T
-        feature, cut, left = np.full(len(keys), -1, np.int16), np.zeros(len(keys), np.uint8), np.zeros(len(keys), np.int32)
-        out.append((feature, cut, left, share))
-        split = np.flatnonzero((ones > 0) & (ones < rows) & ~constant.all(1)) if level < levels else []
-        if not len(split):
-            break
-        if len(split) < len(keys):
-            inside = np.zeros(len(keys), bool)
-            inside[split] = True
-            inside = np.repeat(inside, sizes)
-            x, seen = x[:, inside], seen[inside]
-        sizes, chosen = sizes[split], drawn(keys[split], constant[split])
-        line, flat = np.arange(len(seen)), x.ravel()
-        kind = np.uint32 if len(split) * k < 1 << 22 else np.uint64
-        codes = []
-        for turn in range(k):
-            by = chosen[:, turn]
-            code = (np.repeat((np.arange(len(split)) * k + turn) << 10, sizes)).astype(kind)
-            code |= flat.take(np.repeat(by * len(seen), sizes) + line, mode="clip").astype(kind) << 5
-            code |= seen
-            codes.append(code if (by >= 0).all() else code[np.repeat(by >= 0, sizes)])
-        codes = np.sort(np.concatenate(codes))
-        cell, weight = codes >> 5, (codes & 15).astype(np.int32)
-        ends = np.flatnonzero(np.append(cell[1:] != cell[:-1], True))
-        every, one = np.cumsum(weight, dtype=np.int64)[ends], np.cumsum(weight * (codes & 16 > 0), dtype=np.int64)[ends]
-        upto, cell = np.stack([every - one, one]), cell[ends].astype(np.int64)
-        group, bins = cell >> 5, cell & 31
-        at = best(group, bins, np.diff(upto, prepend=0, axis=1), k, weights)
-        by, most = chosen[np.arange(len(split)), group[at] % k], bins[at].astype(np.uint8)
-        feature[split], cut[split], left[split] = by, most, made + 2 * np.arange(len(split))
-        made += 2 * len(split)
-        # Rows stay in the order of nodes: those that go left, then those that go right.
-        lefts = flat.take(np.repeat(by * len(seen), sizes) + line) <= np.repeat(most, sizes)
-        count = np.cumsum(lefts)
-        starts = np.cumsum(sizes) - sizes
-        before = np.where(starts > 0, count[starts - 1], 0)
-        of_node = count[starts + sizes - 1] - before
-        rank = count - np.repeat(before, sizes)
-        place = np.where(lefts, np.repeat(starts, sizes) + rank - 1, np.repeat(of_node, sizes) + line - rank)
-        order = np.empty(len(seen), np.int64)
-        order[place] = line
-        x, seen = np.take(x, order, axis=1), seen[order]
-        sizes = np.stack([of_node, sizes - of_node], 1).ravel()
-        keys = _children(keys[split])
-    return tuple(np.concatenate(parts) for parts in zip(*out))
-
-
-def leaves(tree: tuple[np.ndarray, ...], x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The leaf that each column of ``x`` reaches from the node ``at``."""
-    feature, cut, left = tree[:3]
-    at, going = at.copy(), np.flatnonzero(feature[at] >= 0)
-    while len(going):
-        here = at[going]
-        at[going] = left[here] + (x[feature[here], going] > cut[here])
-        going = going[feature[at[going]] >= 0]
-    return at
+    return growth.grow(seen_in(pack(x), seen), len(x), key, levels, weights)
 
 
 @dataclass(frozen=True)
@@ -164,6 +63,8 @@ class RandomForest:
 
 def _cuts(rows: DataFrame, n: int, columns: Sequence[str]) -> list[np.ndarray]:
     """Upper ends of all bins but the last: every value if there are few, else the exact quantiles."""
+    if n <= LOCAL:
+        return _ranked_cuts(rows, columns)
     values = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).alias("v")) for i, c in enumerate(columns)]))
     counts = pinned(rows.select(values.alias("s")).groupBy("s.f", "s.v").agg(F.count(F.lit(1)).alias("n")))
     distinct = {row.f: row["count"] for row in counts.groupBy("f").count().collect()}
@@ -180,17 +81,40 @@ def _cuts(rows: DataFrame, n: int, columns: Sequence[str]) -> list[np.ndarray]:
     return [np.unique(cuts[f])[: -1 if f in few else None] for f in range(len(columns))]
 
 
+def _ranked_cuts(rows: DataFrame, columns: Sequence[str]) -> list[np.ndarray]:
+    """The same for rows of which one task can sort a feature: 8 bytes each."""
+
+    def stack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"f": range(len(columns)), "v": [batch[name].to_numpy(float).tobytes() for name in columns]})
+
+    def rank(group: pd.DataFrame) -> pd.DataFrame:
+        values = np.frombuffer(b"".join(group["v"]))
+        distinct, counts = np.unique(values, return_counts=True)
+        cuts = distinct[:-1]
+        if len(distinct) > BINS:
+            quantile, first = np.unique(np.cumsum(counts) * BINS // len(values), return_index=True)
+            cuts = distinct[first[(quantile > 0) & (quantile < BINS)]]
+        return pd.DataFrame({"f": group["f"].iloc[:1], "v": [cuts.tobytes()]})
+
+    stacked = _spread(rows.select(*columns).mapInPandas(stack, "f int, v binary"), "f", len(columns))
+    found = {row.f: np.frombuffer(row.v) for row in stacked.groupBy("f").applyInPandas(rank, "f int, v binary").collect()}
+    return [found.get(f, np.empty(0)) for f in range(len(columns))]
+
+
 def _binned(batch: pd.DataFrame, columns: Sequence[str], cuts: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(c, batch[name].to_numpy(float), "left") for name, c in zip(columns, cuts)]).astype(np.uint8)
 
 
 def _bagged(batch: pd.DataFrame, seed: int, tree: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the rows that are in a tree, and 16 * class + weight."""
-    salt = _mix(np.array([seed * 1_000_003 + tree + 1], np.uint64) * _GOLDEN)
-    chance = (_mix(batch["h"].to_numpy().view(np.uint64) ^ salt) >> np.uint64(11)).astype(np.float64) / 2**53
-    weight = np.searchsorted(_POISSON, chance, "right")
-    place = np.flatnonzero(weight)
-    return place, (weight + 16 * (batch["label"].to_numpy() == 1))[place].astype(np.uint8)
+    salt = mix(np.array([seed * 1_000_003 + tree + 1], np.uint64) * GOLDEN)
+    chance = mix(batch["h"].to_numpy().view(np.uint64) ^ salt) >> np.uint64(11)
+    place = np.flatnonzero(chance >= _POISSON[0])
+    seen, chance = 16 * (batch["label"].to_numpy() == 1).take(place).astype(np.uint8), chance.take(place)
+    for least in _POISSON:
+        seen += chance >= least
+    return place, seen
 
 
 def _by_node(at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -217,9 +141,7 @@ def _split_top(rows: DataFrame, columns, cuts, top, wanted: np.ndarray, keys: np
                 own = number[leaves(nodes, x[:, place], np.full(len(place), tree))]
                 place, seen, own = place[own >= 0], seen[own >= 0], own[own >= 0]
                 for f in range(width if len(own) else 0):
-                    cell = ((own * width + f) * BINS + x[f, place]) * 2 + (seen > 15)
-                    at, back = np.unique(cell, return_inverse=True)
-                    found[at] += np.bincount(back, seen & 15).astype(np.int64)
+                    np.add.at(found, ((own * width + f) * BINS + x[f, place]) * 2 + (seen > 15), (seen & 15).astype(np.int64))
         found = found.reshape(len(wanted), -1)
         some = np.flatnonzero(found.any(1))
         yield pd.DataFrame({"node": wanted[some].astype(np.int32), "counts": [line.tobytes() for line in found[some]]})
@@ -230,12 +152,9 @@ def _split_top(rows: DataFrame, columns, cuts, top, wanted: np.ndarray, keys: np
         total, constant = counts[0].sum(0), (counts.sum(2) > 0).sum(1) < 2
         result = [node, -1, 0, *total.tolist(), 0, 0]
         if total.all() and not constant.all():
-            (chosen,) = drawn(shared.value[2][[node]], constant[None])
-            cells = [(turn, b, *counts[f, b]) for turn, f in enumerate(chosen) if f >= 0 for b in range(BINS) if counts[f, b].any()]
-            turn, b, *of = np.array(cells, np.int64).T
-            (at,) = best(turn, b, np.stack(of), len(chosen), weights)
-            lefts = counts[chosen[turn[at]], : b[at] + 1].sum(0)
-            result = [node, int(chosen[turn[at]]), int(b[at]), *lefts.tolist(), *(total - lefts).tolist()]
+            chosen = drawn(shared.value[2][[node]], constant[None])
+            (turn,), (cut,), lefts = growth.best(joined(*counts[chosen].transpose(3, 0, 1, 2)), chosen >= 0, weights)
+            result = [node, int(chosen[0, turn]), int(cut), *lefts[:, 0].tolist(), *(total - lefts[:, 0]).tolist()]
         return pd.DataFrame([result], columns=["node", "feature", "cut", "l0", "l1", "r0", "r1"])
 
     counted = rows.mapInPandas(count, "node int, counts binary").groupBy("node")
@@ -246,11 +165,11 @@ def _top(rows: DataFrame, n: int, columns, cuts, trees: int, depth: int, seed: i
     """Nodes above the subtrees, which of them are the roots of subtrees, keys and depths."""
     feature, cut, left = [-1] * trees, [0] * trees, [0] * trees
     share, level, size = [0.0] * trees, [0] * trees, [n] * trees
-    keys = list(_mix(np.arange(1, trees + 1, dtype=np.uint64) * _GOLDEN ^ np.uint64(seed)))
+    keys = list(mix(np.arange(1, trees + 1, dtype=np.uint64) * GOLDEN ^ np.uint64(seed)))
     leaf = [False] * trees
 
     def arrays():
-        return np.array(feature, np.int16), np.array(cut, np.uint8), np.array(left, np.int32), np.array(share)
+        return np.array(feature, np.int16), np.array(cut, np.uint8), np.array(left, np.int32), np.rint(np.array(share) * UNIT) / UNIT
 
     large = list(range(trees)) if n > LOCAL and depth else []
     while large:
@@ -294,33 +213,35 @@ def fit(train: DataFrame, columns: Sequence[str], keys: Sequence[str], weights,
         nodes, below, *_ = shared.value
         for batch in batches:
             x = _binned(batch, columns, cuts)
+            packed, dealt = pack(x), []
             for tree in range(trees):
                 place, seen = _bagged(batch, seed, tree)
-                inside = x[:, place]
-                dealt = [
-                    (node, seen[at].tobytes(), np.ascontiguousarray(inside[:, at]).tobytes())
-                    for node, at in _by_node(leaves(nodes, inside, np.full(len(place), tree)))
-                    if below[node]
-                ]
-                yield pd.DataFrame(dealt, columns=["node", "seen", "x"])
+                inside = seen_in(packed.take(place, axis=0), seen)
+                if below[tree]:
+                    dealt.append((tree, inside.tobytes()))
+                    continue
+                at = leaves(nodes, x.take(place, axis=1), np.full(len(place), tree))
+                dealt += [(node, inside.take(own, axis=0).tobytes()) for node, own in _by_node(at) if below[node]]
+            dealt = [part for part in dealt if part[1]]
+            yield pd.DataFrame(dealt, columns=["node", "rows"])
 
     def grow_one(group: pd.DataFrame) -> pd.DataFrame:
         node = int(group["node"].iloc[0])
-        x = np.concatenate([np.frombuffer(part, np.uint8).reshape(len(columns), -1) for part in group["x"]], 1)
-        seen = np.frombuffer(b"".join(group["seen"]), np.uint8)
+        rows = np.frombuffer(b"".join(group.pop("rows")), np.int64).reshape(-1, len(columns) // 8 + 1)
         _, _, node_keys, levels = shared.value
-        grown = grow(x, seen, int(node_keys[node]), depth - int(levels[node]), weights)
-        return pd.DataFrame([[node, *[part.tobytes() for part in grown]]], columns=["node", "feature", "cut", "left", "share"])
+        *grown, share = growth.grow(rows, len(columns), int(node_keys[node]), depth - int(levels[node]), weights)
+        parts = [part.tobytes() for part in (*grown, np.rint(share * UNIT) / UNIT)]
+        return pd.DataFrame([[node, *parts]], columns=["node", "feature", "cut", "left", "share"])
 
-    dealt = _spread(rows.mapInPandas(deal, "node int, seen binary, x binary"), int(below.sum()))
+    dealt = _spread(rows.mapInPandas(deal, "node int, rows binary"), "node", int(below.sum()))
     grown = dealt.groupBy("node").applyInPandas(grow_one, "node int, feature binary, cut binary, left binary, share binary")
     return RandomForest(tuple(columns), cuts, trees, top, below, pinned(grown))
 
 
-def _spread(dealt: DataFrame, groups: int) -> DataFrame:
-    """Dealt by node into so many partitions that few hold much more than others."""
-    parts = max(4 * dealt.sparkSession.sparkContext.defaultParallelism, groups // 8)
-    return dealt.repartition(max(1, min(groups, parts)), "node")
+def _spread(dealt: DataFrame, by: str, groups: int) -> DataFrame:
+    """Dealt by group number in turn, so that no partition holds many more groups than others."""
+    parts = max(8 * dealt.sparkSession.sparkContext.defaultParallelism, groups // 8)
+    return dealt.repartitionById(max(1, min(groups, parts)), F.col(by))
 
 
 def probability(forest: RandomForest, df: DataFrame, out: str) -> DataFrame:
@@ -330,48 +251,59 @@ def probability(forest: RandomForest, df: DataFrame, out: str) -> DataFrame:
     zero = F.lit(0.0)
     values = [F.coalesce(F.nanvl(F.col(name).cast("double"), zero), zero).alias(name) for name in columns]
     shared = df.sparkSession.sparkContext.broadcast((forest.top, forest.below))
+    whole = bool(forest.below[:trees].all())
+    together = BUNDLE if whole else 1
+    # No group has more than about LOCAL rows; the subtrees go to each slice of them.
+    slices = max(1, -(-numbered.count() // LOCAL))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        nodes, below = shared.value
+        nodes, _ = shared.value
         for batch in batches:
             if not len(batch):
                 continue
             x, number = _binned(batch, columns, cuts), batch["_row"].to_numpy()
-            for tree in range(trees):
-                dealt = []
+            packed, chunk, dealt = pack(x), int(number[0]), []
+            own = int(mix(number[:1].view(np.uint64))[0]) % slices
+            if whole:
+                # The first bundle tells which rows these are.
+                parts, numbers = packed.tobytes(), [number.tobytes()] + [b""] * trees
+                dealt += [(g * slices + own, chunk, numbers[g], parts) for g in range(-(-trees // together))]
+            for tree in range(0 if whole else trees):
                 for node, at in _by_node(leaves(nodes, x, np.full(len(number), tree))):
-                    part = np.ascontiguousarray(x[:, at]).tobytes() if below[node] else nodes[3][node].tobytes()
-                    dealt.append((node, tree, int(number[0]), number[at].tobytes(), part))
-                yield pd.DataFrame(dealt, columns=["node", "tree", "chunk", "row", "x"])
-
-    def reach(key: tuple, rows: pd.DataFrame, subtree: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows):
-            return pd.DataFrame({"tree": [], "chunk": [], "row": [], "share": []})
-        if len(subtree):
-            kinds = (np.int16, np.uint8, np.int32, np.float64)
-            nodes = [np.frombuffer(subtree[name].iloc[0], kind) for name, kind in zip(("feature", "cut", "left", "share"), kinds)]
-        shares = []
-        for row, part in zip(rows["row"], rows["x"]):
-            if len(subtree):
-                x = np.frombuffer(part, np.uint8).reshape(len(columns), -1)
-                shares.append(nodes[3][leaves(nodes, x, np.zeros(x.shape[1], np.int64))].tobytes())
-            elif shared.value[1][key[0]]:  # a tree that drew no row: both classes weigh the same
-                shares.append(np.full(len(row) // 8, 0.5).tobytes())
-            else:  # a leaf above the subtrees
-                shares.append(np.full(len(row) // 8, np.frombuffer(part, np.float64)[0]).tobytes())
-        return pd.DataFrame({"tree": rows["tree"], "chunk": rows["chunk"], "row": rows["row"], "share": shares})
+                    dealt.append((node * slices + own, chunk, number[at].tobytes(), packed.take(at, axis=0).tobytes()))
+            yield pd.DataFrame(dealt, columns=["group", "chunk", "row", "x"])
+
+    def reach(key: tuple, rows: pd.DataFrame, subtrees: pd.DataFrame) -> pd.DataFrame:
+        nodes, below = shared.value
+        parts = [np.frombuffer(part, np.int64).reshape(-1, len(columns) // 8 + 1) for part in rows.pop("x")]
+        shares, first = [np.zeros(len(part)) for part in parts], key[0] // slices * together
+        for node in range(first, min(first + together, len(below))) if parts else ():
+            found = subtrees[subtrees["node"] == node]
+            if len(found):
+                kinds = (np.int16, np.uint8, np.int32, np.float64)
+                tree = [np.frombuffer(found[name].iloc[0], kind) for name, kind in zip(("feature", "cut", "left", "share"), kinds)]
+                steps = growth.steps(tree)
+            for part, share in zip(parts, shares):
+                if len(found):
+                    share += tree[3].take(growth.reached(steps, part))
+                else:  # a tree that drew no row, where both classes weigh the same, or a leaf above the subtrees
+                    share += 0.5 if below[node] else nodes[3][node]
+        return pd.DataFrame({"chunk": rows["chunk"], "row": rows["row"], "share": [share.tobytes() for share in shares]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("tree", kind="stable")
         number = np.unique(np.frombuffer(b"".join(group["row"]), np.int64))
         total = np.zeros(len(number))
         for row, share in zip(group["row"], group["share"]):
-            total[np.searchsorted(number, np.frombuffer(row, np.int64))] += np.frombuffer(share, np.float64)
+            at = np.searchsorted(number, np.frombuffer(row, np.int64)) if row else slice(None)
+            total[at] += np.frombuffer(share, np.float64)
         return pd.DataFrame({"_row": number, out: total / trees})
 
-    groups = len(forest.below)
-    dealt = numbered.select("_row", *values).mapInPandas(deal, "node int, tree int, chunk long, row binary, x binary")
-    both = _spread(dealt, groups).groupBy("node").cogroup(_spread(forest.subtrees, groups).groupBy("node"))
-    shares = both.applyInPandas(reach, "tree int, chunk long, row binary, share binary")
+    groups = -(-trees // together) if whole else len(forest.below)
+    dealt = numbered.select("_row", *values).mapInPandas(deal, "group int, chunk long, row binary, x binary")
+    copies = forest.subtrees.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    group = F.floor(F.col("node") / together) * slices + F.col("slice")
+    subtrees = copies.withColumn("group", group.cast("int")).drop("slice")
+    both = [_spread(side, "group", groups * slices).groupBy("group") for side in (dealt, subtrees)]
+    shares = both[0].cogroup(both[1]).applyInPandas(reach, "chunk long, row binary, share binary")
     scores = shares.groupBy("chunk").applyInPandas(add, f"_row long, {out} double")
     return numbered.join(scores, "_row").select(*df.columns, out)

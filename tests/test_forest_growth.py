@@ -96,3 +96,52 @@ def test_deep_trees_on_noise_end_in_time(spark):
     model = supervised.fit(supervised.RANDOM_FOREST, rows, names)
     assert supervised.probability(model, rows, names).count() == 100_000
     assert time.monotonic() - began < 60
+
+
+def test_a_tree_of_many_rows_is_grown_without_a_pass_a_level(spark, monkeypatch):
+    monkeypatch.setattr(random_forest, "_split_top", lambda *_: pytest.fail("a pass over all rows"))
+    rows = spark.range(600_000).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        (F.rand(1) < 0.2).cast("int").alias("label"),
+        *[F.rand(i + 2).alias(name) for i, name in enumerate("xyz")],
+    )
+    model = supervised.fit(supervised.RANDOM_FOREST, rows.localCheckpoint(), ["x", "y", "z"], trees=2, depth=4)
+    assert model.subtrees.count() == 2
+
+
+@pytest.mark.parametrize("width, values", [(1, 32), (7, 32), (8, 3), (17, 32)])
+def test_large_nodes_and_blocks_equal_plain_recursion(monkeypatch, width, values):
+    for name, size in (("BLOCK", 64), ("ALONE", 16), ("NODES", 3), ("COMPARED", 2)):
+        monkeypatch.setattr(random_forest.growth, name, size)
+    random = np.random.default_rng(width)
+    x = random.integers(0, values, (width, 400)).astype(np.uint8)
+    ones = (x[0] + random.integers(0, values, 400) > values).astype(int)
+    weight = random.integers(1, 16, 400)
+    seen, weights = (16 * ones + weight).astype(np.uint8), [0.75, 1.5]
+    tree = random_forest.grow(x, seen, 7, 12, weights)
+    at = random_forest.leaves(tree, x, np.zeros(400, np.int64))
+    assert tree[3][at].tolist() == plainly(x, ones, weight, 7, 12, weights, np.zeros(400)).tolist()
+    rows = random_forest.seen_in(random_forest.pack(x), seen)
+    assert random_forest.growth.reached(random_forest.growth.steps(tree), rows).tolist() == at.tolist()
+
+
+def test_slices_of_scored_rows_and_odd_bundles_add_up_exactly(spark, monkeypatch):
+    rows = frame(spark, 500)
+    model = supervised.fit(supervised.RANDOM_FOREST, rows, ["x", "y", "z"], trees=7, depth=8)
+    wanted = scores(model, rows)
+    sums = np.array(list(wanted.values())) * 7 * random_forest.UNIT
+    assert (np.abs(sums - np.rint(sums)) < 1).all()
+    monkeypatch.setattr(random_forest, "LOCAL", 200)
+    monkeypatch.setattr(random_forest, "BUNDLE", 3)
+    assert scores(model, rows) == wanted
+    assert scores(model, rows.where("transaction_id < 't2'").repartition(5)).items() <= wanted.items()
+
+
+@pytest.mark.parametrize("n", [1, 31, 40, 3000])
+def test_cuts_ranked_in_a_task_equal_those_of_the_distributed_way(spark, monkeypatch, n):
+    random = np.random.default_rng(n)
+    data = zip(*[random.integers(0, top, n).astype(float).tolist() for top in (1, 3, 50, 10**6)], strict=True)
+    rows = spark.createDataFrame([(a, b, c - 25, d if i % 3 else 7.5) for i, (a, b, c, d) in enumerate(data)], "a double, b double, c double, d double")
+    found = random_forest._cuts(rows, n, ["a", "b", "c", "d"])
+    monkeypatch.setattr(random_forest, "LOCAL", 0)
+    assert [cut.tolist() for cut in found] == [cut.tolist() for cut in random_forest._cuts(rows, n, ["a", "b", "c", "d"])]
