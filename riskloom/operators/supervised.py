@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -28,6 +30,7 @@ FOREST_DEPTH = 30
 # The rows of a forest are dealt into a number of partitions that depends on them only.
 FOREST_PARTITIONS = 8
 FOREST_ROWS = 50_000  # a partition above FOREST_PARTITIONS of them
+FITS = 3  # at once, so that one fit's last tasks and the driver's steps leave no core idle
 
 
 def forest_partitions(rows: int) -> int:
@@ -82,6 +85,13 @@ def probability(
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
+def side_by_side(calls: Sequence[Callable]) -> list:
+    """Results of calls that run Spark jobs of their own, up to ``FITS`` at once."""
+    with ThreadPoolExecutor(FITS) as pool:
+        waiting = [pool.submit(inheritable_thread_target(call)) for call in calls]
+        return [call.result() for call in waiting]
+
+
 def walk_forward(
     kind: str, folded: DataFrame, columns: Sequence[str], seed: int = 42, folds: int = FOLDS
 ) -> DataFrame:
@@ -90,11 +100,14 @@ def walk_forward(
     The loop is over the fixed number of folds; every fit is a distributed job. Rows of
     fold 0 have no out-of-fold score and are not in the result.
     """
-    parts = []
-    for fold in range(1, folds + 1):
+
+    def scored(fold: int) -> DataFrame | None:
         model = fit(kind, folded.where(F.col("fold") < fold), columns, seed)
-        if model is not None:
-            parts.append(probability(model, folded.where(F.col("fold") == fold), columns))
+        return None if model is None else probability(model, folded.where(F.col("fold") == fold), columns)
+
+    # The longest first.
+    found = side_by_side([partial(scored, fold) for fold in range(folds, 0, -1)])
+    parts = [part for part in reversed(found) if part is not None]
     if not parts:
         return folded.withColumn("score", F.lit(None).cast("double")).where("false")
     return reduce(DataFrame.unionByName, parts)

@@ -70,8 +70,10 @@ def learned(
     """Walk-forward scores of the training rows and final scores of the test rows."""
     train = split.where("split = 'train'")
     folded = pinned(metrics.with_folds(train))
-    earlier = supervised.walk_forward(kind, folded, columns, seed).select(*_SCORED)
-    final = supervised.fit(kind, train, columns, seed)
+    final, earlier = supervised.side_by_side([
+        lambda: supervised.fit(kind, train, columns, seed),
+        lambda: supervised.walk_forward(kind, folded, columns, seed).select(*_SCORED),
+    ])
     test = split.where("split = 'test'")
     if final is None:
         return earlier, test.withColumn("score", F.lit(0.0)).select(*_SCORED)

@@ -1,5 +1,6 @@
 """Trees of the random forest against plain recursion, large nodes, equal rows, rows that no tree drew."""
 
+import threading
 import time
 
 import numpy as np
@@ -145,3 +146,24 @@ def test_cuts_ranked_in_a_task_equal_those_of_the_distributed_way(spark, monkeyp
     found = random_forest._cuts(rows, n, ["a", "b", "c", "d"])
     monkeypatch.setattr(random_forest, "LOCAL", 0)
     assert [cut.tolist() for cut in found] == [cut.tolist() for cut in random_forest._cuts(rows, n, ["a", "b", "c", "d"])]
+
+
+def test_fits_run_side_by_side_and_keep_their_order(spark):
+    meet = threading.Barrier(supervised.FITS, timeout=60)
+
+    def call(number):
+        meet.wait()
+        return spark.range(number).count()
+
+    assert supervised.side_by_side([lambda n=n: call(n) for n in range(2 * supervised.FITS)]) == list(range(2 * supervised.FITS))
+    with pytest.raises(ZeroDivisionError):
+        supervised.side_by_side([lambda: 1 // 0])
+
+
+def test_folds_are_scored_as_by_single_fits(spark):
+    rows = frame(spark, 300).withColumn("fold", F.expr("substring(transaction_id, 2) % 3").cast("int"))
+    found = supervised.walk_forward(supervised.LOGISTIC, rows, ["x", "y", "z"], folds=3).collect()
+    assert {row.fold for row in found} == {1, 2} and len(found) == 200
+    model = supervised.fit(supervised.LOGISTIC, rows.where("fold < 2"), ["x", "y", "z"])
+    wanted = {r.transaction_id: r.score for r in supervised.probability(model, rows.where("fold = 2"), ["x", "y", "z"]).collect()}
+    assert {r.transaction_id: pytest.approx(r.score, abs=1e-9) for r in found if r.fold == 2} == wanted
