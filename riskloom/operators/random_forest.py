@@ -89,12 +89,16 @@ def _ranked_cuts(rows: DataFrame, columns: Sequence[str]) -> list[np.ndarray]:
             yield pd.DataFrame({"f": range(len(columns)), "v": [batch[name].to_numpy(float).tobytes() for name in columns]})
 
     def rank(group: pd.DataFrame) -> pd.DataFrame:
-        values = np.frombuffer(b"".join(group["v"]))
-        distinct, counts = np.unique(values, return_counts=True)
-        cuts = distinct[:-1]
-        if len(distinct) > BINS:
-            quantile, first = np.unique(np.cumsum(counts) * BINS // len(values), return_index=True)
-            cuts = distinct[first[(quantile > 0) & (quantile < BINS)]]
+        values = np.frombuffer(bytearray().join(group.pop("v")))
+        values.sort()
+        last = np.append(values[1:] != values[:-1], True)  # of its equals
+        if np.count_nonzero(last) <= BINS:
+            cuts = values[last][:-1]
+        else:
+            # From which place on a value ends at or beyond a quantile.
+            least = -(-np.arange(1, BINS) * len(values) // BINS)
+            cuts = np.unique(values[least - 1])
+            cuts = cuts[cuts < values[-1]]
         return pd.DataFrame({"f": group["f"].iloc[:1], "v": [cuts.tobytes()]})
 
     stacked = _spread(rows.select(*columns).mapInPandas(stack, "f int, v binary"), "f", len(columns))
